@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, merkle
+from . import bpe_prefix, exact_dedup, merkle, packing, repair
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_merkle_fingerprint": merkle.op4_merkle_fingerprint,
+    "op5_repair_tokens": repair.op5_repair_tokens,
+    "op6_prefix_bpe": bpe_prefix.op6_prefix_bpe,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
 
 ORACLE_SQL = {
