@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe_prefix, exact_dedup, merkle, packing, repair
+from . import bpe_prefix, exact_dedup, langid, merkle, packing, repair, sharding, toxicity
 
 QUERIES = {
+    "op2_ftrl_toxicity": toxicity.op2_ftrl_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_merkle_fingerprint": merkle.op4_merkle_fingerprint,
     "op5_repair_tokens": repair.op5_repair_tokens,
     "op6_prefix_bpe": bpe_prefix.op6_prefix_bpe,
+    "op8_crf_langid": langid.op8_crf_langid,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op10_label_shards": sharding.op10_label_shards,
 }
 
 ORACLE_SQL = {

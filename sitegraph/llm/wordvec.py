@@ -86,7 +86,8 @@ def blocks(at: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo = min(hi, n)
 
 
-def words(texts: pa.Array, most: int = 1 << 20) -> Iterator[Words]:
+def words(texts: pa.Array, most: int = 1 << 20, marks: bool = True) -> Iterator[Words]:
+    """Without marks a word holds ASCII letters, digits and bytes of other scripts alone."""
     raw, at = text_bytes(texts)
     for lo, hi in blocks(at, most):
         data = raw[at[lo] : at[hi]].copy()
@@ -95,6 +96,8 @@ def words(texts: pa.Array, most: int = 1 << 20) -> Iterator[Words]:
         data[upper] += 32
         inside = np.zeros(len(data) + 2, dtype=bool)
         inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+        if not marks:
+            inside[1:-1] = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
         begin = np.zeros(len(data) + 1, dtype=bool)
         begin[own] = True
         first = inside[1:] & (~inside[:-1] | begin)
