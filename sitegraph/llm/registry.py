@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe_prefix, exact_dedup, langid, merkle, packing, repair, sharding, toxicity
+from . import bpe_prefix, exact_dedup, langid, merkle, packing, repair, sharding, tgm_join, toxicity
 
 QUERIES = {
+    "op1_tgm_jaccard": tgm_join.op1_tgm_jaccard,
     "op2_ftrl_toxicity": toxicity.op2_ftrl_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_merkle_fingerprint": merkle.op4_merkle_fingerprint,
