@@ -22,6 +22,8 @@ from .common import only, read_table, stage_table
 
 #: Most characters of a paragraph leaf, and hex digits of a leaf's and a section's digest.
 LEAF_CHARS, LEAF_HEX, SECTION_HEX = 96, 10, 16
+#: Stands for a null id in joins.
+NO_ID = -(1 << 63)
 LEAF = rf"[^.!?]{{1,{LEAF_CHARS}}}[.!?]*|[.!?]+"
 
 
@@ -82,13 +84,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def row_places(base: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, h, n, at of the distinct rows of base, at being the place by (doc_id, h) from 0.
+    """k, h, n, at of the distinct rows of base(k, h, n), at being the place by (k, h) from 0.
 
     Only ids, digests and lengths are sorted; each range of the sort is numbered on its own, and
     the ranges' sizes, one number for each shuffle partition, are summed on the driver.
     """
     ids = stage_table(
-        base.select("doc_id", "h", "n").distinct().orderBy("doc_id", "h", "n").withColumn("mid", F.monotonically_increasing_id()),
+        base.distinct().orderBy("k", "h", "n").withColumn("mid", F.monotonically_increasing_id()),
         "order",
     ).withColumn("part", F.shiftright("mid", 33))
     sizes = {r["part"]: r["rows"] for r in ids.groupBy("part").agg(F.count("*").alias("rows")).collect()}
@@ -98,7 +100,7 @@ def row_places(base: DataFrame) -> tuple[DataFrame, int]:
         total += sizes[part]
     starts = base.sparkSession.createDataFrame(first or [(0, 0)], "part long, first long")
     at = F.col("first") + F.col("mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return ids.join(F.broadcast(starts), "part").select("doc_id", "h", "n", at.alias("at")), total
+    return ids.join(F.broadcast(starts), "part").select("k", "h", "n", at.alias("at")), total
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -107,21 +109,24 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     The texts are shuffled once, by id; what a row needs of the next one (its first characters and
     its paragraph digests) travels to it alone, so that no order of whole texts is ever formed.
     """
-    base = only(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = base.select("doc_id", "text", F.xxhash64("text").alias("h"), F.length("text").cast("long").alias("n"))
-    places, total = row_places(base)
+    text = F.coalesce("text", F.lit(""))
+    base = only(docs, "doc_id", "text").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), F.xxhash64(text, F.isnull("doc_id")).alias("h"), text.alias("text")
+    )
+    places, total = row_places(base.select("k", "h", F.length("text").cast("long").alias("n")))
     before = places.select(
-        F.col("doc_id").alias("b_id"), F.col("h").alias("b_h"), F.floor(F.col("n") / 4).alias("need"), ((F.col("at") + 1) % F.lit(max(total, 1))).alias("at")
+        F.col("k").alias("b_k"), F.col("h").alias("b_h"), F.floor(F.col("n") / 4).alias("need"), ((F.col("at") + 1) % F.lit(max(total, 1))).alias("at")
     )
-    links = places.join(before, "at").select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "b_id", "b_h", "need")
-    texts = base.join(links, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("h") == F.col("p_h")))
+    links = places.join(before, "at").select("k", "h", "b_k", "b_h", "need")
+    texts = base.join(links, ["k", "h"])
     sent = texts.select(
-        F.col("b_id").alias("t_id"),
-        F.col("b_h").alias("t_h"),
+        F.col("b_k").alias("k"),
+        F.col("b_h").alias("h"),
         F.expr("substring(text, 1, cast(need AS int))").alias("head"),
         F.array_join(F.array_distinct(F.flatten(leaf_digests(F.col("text")))), ",").alias("next_leaves"),
-    ).dropDuplicates(["t_id", "t_h"])
-    rows = texts.join(sent, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("h") == F.col("t_h")))
+    ).dropDuplicates(["k", "h"])
+    rows = texts.join(sent, ["k", "h"]).withColumn("n", F.length("text").cast("long"))
+    rows = rows.withColumn("doc_id", F.when(F.col("k") != NO_ID, F.col("k")))
     rows = rows.select(
         "doc_id",
         "n",
