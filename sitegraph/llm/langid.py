@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -239,6 +240,18 @@ def languages(docs: DataFrame, crf: Crf | None) -> DataFrame:
     return rows.mapInArrow(label_rows(crf), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, crf: Crf | None) -> DataFrame:
+    """The rows of docs, whole, in whose text a language is found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["text"])
+            found = next(label_rows(crf)(iter([rows]))).column("lang_pred")
+            yield batch.filter(pc.not_equal(found, "und"))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return languages(docs, train(docs))

@@ -129,6 +129,16 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def keep_clean(docs: DataFrame, model: Model, limit: float) -> DataFrame:
+    """The rows of docs, whole, whose score is below the limit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column("text")) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity(docs, train(docs, read_table(spark, sf_dir, "labels")))
