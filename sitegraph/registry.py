@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from .plans import resolution
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**resolution.QUERIES}
+ORACLE_SQL: dict[str, str] = {**resolution.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
