@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import resolution
+from .plans import relational, resolution
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**resolution.QUERIES}
-ORACLE_SQL: dict[str, str] = {**resolution.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**resolution.QUERIES, **relational.QUERIES}
+ORACLE_SQL: dict[str, str] = {**resolution.ORACLE_SQL, **relational.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
