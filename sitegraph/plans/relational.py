@@ -304,6 +304,7 @@ ORACLE_SQL = {
     "register_exact_join": "WITH one AS (SELECT o_orderkey % 1000 AS number, count(DISTINCT o_custkey)::BIGINT AS owners, min(o_custkey) AS owner FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN owners = 1 THEN owner END AS owner, coalesce(owners, 0)::BIGINT AS owners FROM customer LEFT JOIN one ON one.number = c_custkey % 1000",
     "address_geocode": f"WITH {COMPANIES_SQL}, c AS (SELECT *, CASE WHEN street IS NULL THEN '' ELSE 'hauptstrasse ' || (h % 40 + 1) END AS skey, floor(latitude * 10000 + 0.5)::BIGINT AS m FROM co), i AS (SELECT * FROM c WHERE skey <> '' AND source = 'osm'), x AS (SELECT postcode, skey, sum(m)::DOUBLE AS s, count(*) AS n FROM i GROUP BY ALL), a AS (SELECT postcode, sum(m)::DOUBLE AS s, count(*) AS n FROM i GROUP BY ALL) SELECT doc_id, coalesce(floor(x.s / x.n + 0.5)::BIGINT, floor(a.s / a.n + 0.5)::BIGINT) AS lat_e4, CASE WHEN x.n > 0 THEN 'exact' WHEN a.n > 0 THEN 'street' ELSE 'none' END AS method FROM c LEFT JOIN x ON c.postcode = x.postcode AND c.skey = x.skey LEFT JOIN a ON c.postcode = a.postcode WHERE source <> 'osm'",
     "postcode_district": f"WITH {COMPANIES_SQL}, g AS (SELECT postcode, district, count(*) AS n FROM co GROUP BY ALL) SELECT postcode, district FROM g QUALIFY row_number() OVER (PARTITION BY postcode ORDER BY n DESC, district) = 1",
+    "objective_industrial": f"WITH {COMPANIES_SQL}, w AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'herstellung von moebeln ' || business_type || CASE WHEN doc_id % 3 = 0 THEN ' und vermietung' ELSE '' END ELSE 'handel ' || lower(name) END AS t FROM co) SELECT doc_id, list_bool_or(list_transform([{', '.join(map(repr, C.OBJECTIVE_KEYWORDS))}], lambda k: contains(t, k))) AND NOT list_bool_or(list_transform([{', '.join(map(repr, C.OBJECTIVE_EXCLUDE))}], lambda k: contains(t, k))) AS industrial FROM w",
     "validate_contract": f"WITH {COMPANIES_SQL} SELECT count(*) FILTER (WHERE id IS NULL)::BIGINT AS null_ids, (count(id) - count(DISTINCT id))::BIGINT AS duplicate_ids, count(*) FILTER (WHERE source IS NULL)::BIGINT AS null_sources, count(*) FILTER (WHERE latitude < 45 OR latitude > 56 OR longitude < 4 OR longitude > 17)::BIGINT AS outside, count(*) FILTER (WHERE area <= 0 OR area > 5000)::BIGINT AS odd_areas FROM co",
     "industrial_flag": f"WITH {COMPANIES_SQL} SELECT doc_id, (source IN ('ied', 'abwaerme', 'mastr') OR doc_id % 5 = 0 OR (doc_id % 5 = 1 AND trim(name) <> '')) AS is_industrial FROM co",
     "display_filter": f"{_CO} SELECT id, source, business_type FROM f WHERE (source = 'osm' AND business_type IN ('shop', 'office')) OR source = 'ied' OR (source = 'mastr' AND source_count >= 2)",

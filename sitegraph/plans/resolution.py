@@ -180,9 +180,11 @@ _FUSED = f"""{_ROOTS}, fused AS (
     + (street IS NOT NULL AND postcode IS NOT NULL AND city IS NOT NULL)::INT * 20
     + (phone IS NOT NULL)::INT * 10 + (area IS NOT NULL)::INT * 10)::BIGINT AS conf FROM fused
 )"""
-_FORM_CASE = "CASE doc_id % 5 WHEN 0 THEN {0} WHEN 1 THEN {1} WHEN 2 THEN {2} WHEN 3 THEN {3} END"
+_FORM_TEXT = r"array_to_string(list_filter(string_split(regexp_replace(regexp_replace(replace(lower(name), '&', ' und '), '\b([a-z])\.\s?([a-z])(\b|\.)', '\1\2 ', 'g'), '[^a-z0-9 ]+', ' ', 'g'), ' '), lambda t: t <> ''), ' ')"
+_FORM = lambda value: "CASE " + " ".join(f"WHEN regexp_matches(t, '{p}') THEN {value(f, d)}" for p, f, d in T.LEGAL_FORMS) + " END"
 
 ORACLE_SQL = {
+    "legal_forms": f"WITH {COMPANIES_SQL}, n AS (SELECT doc_id, {_FORM_TEXT} AS t FROM co) SELECT doc_id, {_FORM(lambda f, d: repr(f))} AS legal_form, {_FORM(lambda f, d: repr(d) if d else 'NULL')} AS division FROM n",
     "companies_per_state": f"WITH RECURSIVE {_FUSED} SELECT state, count(*)::BIGINT AS companies, count(*) FILTER (WHERE source_count >= 2)::BIGINT AS multi_source, sum(conf)::BIGINT AS confidence_sum FROM scored_rows GROUP BY state",
     "resolve_clusters": f"WITH RECURSIVE {_ROOTS} SELECT doc_id, root FROM rooted",
     "cluster_fusion": f"WITH RECURSIVE {_FUSED} SELECT root, {', '.join(FIELDS)}, business_type_source, source, source_count, member_ids FROM fused",
