@@ -10,7 +10,7 @@ from ..functions import text as T
 from ..functions import url as U
 from ..functions.geo import ring_area
 from ..operators import geometry, register, serve
-from .adapter import COMPANIES_SQL, companies, name_key_sql, table
+from .adapter import COMPANIES_SQL, common_sql, companies, name_key_sql, table
 
 
 def _flat(spark, sf_dir):
@@ -290,7 +290,31 @@ _CO = f"WITH {COMPANIES_SQL}, f AS (SELECT *, 1::BIGINT AS source_count, source
 _KEYS = f"WITH {COMPANIES_SQL}, k AS (SELECT *, {name_key_sql('name')} AS key FROM co)"
 _E6 = "floor(quantile_cont({0}, {1}) * 1e6 + 0.5)::BIGINT"
 
+_SPELL = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
+_REGISTER = f"""{_KEYS}, l AS (
+  SELECT *, {name_key_sql('name', False)} AS kl FROM k
+), n AS (
+  SELECT postcode, key AS rkf, kl AS rkl, 'hr_' || min(doc_id) AS hr_id FROM l WHERE key <> '' OR kl <> '' GROUP BY ALL
+), p AS (
+  SELECT l.id, l.key AS kf, l.kl, n.rkf, n.rkl, n.hr_id FROM l JOIN n USING (postcode) WHERE source <> 'overture'
+), w AS (
+  SELECT kf AS a, rkf AS b FROM p WHERE kf <> '' AND rkf <> '' UNION SELECT kl, rkl FROM p WHERE kl <> '' AND rkl <> ''
+), v AS (
+  SELECT a, b, {_SPELL.format('a')} AS s, {_SPELL.format('b')} AS t FROM w
+), r AS (
+  SELECT a, b, CASE WHEN s = t THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {common_sql('s', 't')} / (length(s) + length(t)) END AS ratio FROM v
+), c AS (
+  SELECT id, hr_id, rkf, floor(greatest(coalesce(x.ratio, 0), coalesce(y.ratio, 0)) + 0.5)::INT AS score
+  FROM p LEFT JOIN r x ON x.a = kf AND x.b = rkf LEFT JOIN r y ON y.a = kl AND y.b = rkl
+), q AS (
+  SELECT *, row_number() OVER o AS rn, lead(score) OVER o AS ns, lead(rkf) OVER o AS nf FROM c WHERE score >= 80
+  WINDOW o AS (PARTITION BY id ORDER BY score DESC, hr_id)
+)
+SELECT id, hr_id, score, CASE WHEN score - ns < 5 AND nf <> rkf AND NOT (score = 100 AND ns < 100) THEN 'ambiguous' ELSE 'name_plz' END AS register_match
+FROM q WHERE rn = 1"""
+
 ORACLE_SQL = {
+    "register_name_join": _REGISTER,
     "url_host": f"SELECT page_id, {_HOST} AS host, {_REG} AS registered FROM pages",
     "url_normalize": "WITH p AS (SELECT page_id, regexp_extract(url, '^([A-Za-z]+)://([^/?#]*)([^?#]*)[?]?([^#]*)', ['scheme', 'host', 'path', 'query']) AS u FROM pages), q AS (SELECT page_id, u, array_to_string(list_filter(string_split(u.query, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_|fbclid|gclid|mc_cid|mc_eid|ref)')), '&') AS kept FROM p) SELECT page_id, lower(u.scheme) || '://' || lower(u.host) || rtrim(u.path, '/') || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS normalized FROM q",
     "host_classes": f"WITH s AS (SELECT {_HOST} AS host, count(*)::BIGINT AS rows, count(DISTINCT page_id % 7)::BIGINT AS names FROM pages GROUP BY 1) SELECT host, rows, names, CASE WHEN rows >= 10 AND names >= rows * 0.5 THEN 'directory' WHEN rows >= 4 THEN 'chain' ELSE 'own' END AS kind FROM s",

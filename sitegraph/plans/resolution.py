@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..functions.geo import mercator, utm, utm_sql
 from ..functions.similarity import evidence
 from ..operators import resolve as R
-from .adapter import COMPANIES_SQL, companies, name_key_sql, table
+from .adapter import COMPANIES_SQL, common_sql, companies, name_key_sql, table
 
 _UX, _UY = utm_sql("longitude", "latitude")
 # Nodes as the operator has them: one for each key and place.
@@ -26,17 +26,6 @@ _PAIRS = f"""{_KEYED}, pair AS (
 _SORTED = "array_to_string(list_sort(string_split({k}, ' ')), ' ')"
 
 
-def _common(s: str, t: str) -> str:
-    """Length of the longest common subsequence of two texts, as SQL: a fold over the letters of t
-    whose state is the row of lengths for the prefixes of s."""
-    zero = f"list_transform(range(0, length({s}) + 1), lambda x: 0::BIGINT)"
-    letters = f"list_transform(string_split({t}, ''), lambda c: [ascii(c)::BIGINT])"
-    places = f"list_transform(range(1, length({s}) + 1), lambda i: [i::BIGINT])"
-    step = f"greatest(acc[len(acc)], r[i[1] + 1], CASE WHEN ascii(substr({s}, i[1], 1)) = c[1] THEN r[i[1]] + 1 ELSE 0 END)"
-    inner = f"list_reduce(list_prepend([0::BIGINT], {places}), lambda acc, i: list_append(acc, {step}))"
-    return f"list_max(list_reduce(list_prepend({zero}, {letters}), lambda r, c: {inner}))"
-
-
 def grid_candidates(spark, sf_dir):
     return R.grid_candidates(R.nodes(R.keyed(companies(spark, sf_dir)))).select("a", "b")
 
@@ -146,7 +135,7 @@ _EDGES = f"""{_PAIRS}, close AS (
 ), spelled AS (
   SELECT k, m, {_SORTED.format(k='k')} AS s, {_SORTED.format(k='m')} AS t FROM key_pair
 ), scored AS (
-  SELECT k, m, CASE WHEN s = t THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {_common('s', 't')} / (length(s) + length(t)) END AS ratio,
+  SELECT k, m, CASE WHEN s = t THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {common_sql('s', 't')} / (length(s) + length(t)) END AS ratio,
          list_intersect({_WORDS.format(k='k')}, {_WORDS.format(k='m')}) AS held FROM spelled
 ), rated AS (
   SELECT k, m, ratio, len(held) AS shared, coalesce(list_sum(list_transform(held, lambda w: length(w))), 0) AS chars FROM scored
