@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 
 from .common import only, read_table, stage_table
 
-SHARDS, ROUNDS = 16, 6
+SHARDS, ROUNDS = 16, 10
 #: Rows of one shard that one task numbers, about; hashed classes in which moves are granted.
 BUCKET_ROWS, CLASSES = 2048, 64
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, g (the group's key) and s (its salt); long texts end here."""
+    """doc_id, size, text_crc32 and g, the key of the group of equal texts; long texts end here."""
     text = F.coalesce("text", F.lit(""))
     return only(docs, "doc_id", "text").select(
         "doc_id",
@@ -61,30 +61,30 @@ def grants(wishes: DataFrame, room: dict[int, int]) -> DataFrame:
 
 
 def propagate(cells: DataFrame, quota: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """cells (g, begin, n) to (g, begin, shard): where each cell's members go."""
+    """cells (g, begin, n) to (g, begin, shard): where each cell's members go.
+
+    A cell asks for the shard that holds most of its group among those that hold more of it than
+    its own and have room for it; equal shards go by their number, so that no two swap for ever.
+    """
     state = stage_table(cells.select("g", "begin", F.col("begin").alias("shard"), "n"), "cells")
     for _ in range(rounds):
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = {s: max(0, quota - held.get(s, 0)) for s in range(shards)}
+        space = F.create_map(*[F.lit(x) for s, n in room.items() for x in (s, n)])
         here = state.groupBy("g", "shard").agg(F.sum("n").alias("members"))
-        # A group wants the shard that holds most of it; if that is full, its next one.
-        open_ = [s for s in room if room[s] > 0]
-        best = here.where(F.col("shard").isin(open_)).groupBy("g").agg(
-            F.max_by("shard", F.struct("members", -F.col("shard"))).alias("target"), F.max("members").alias("most")
-        )
+        there = here.select("g", F.col("shard").alias("target"), F.col("members").alias("most")).where(space[F.col("target")] > 0)
+        more = (F.col("most") > F.col("members")) | ((F.col("most") == F.col("members")) & (F.col("target") < F.col("shard")))
         wishes = (
-            state.join(best, "g")
-            .join(here, ["g", "shard"])
-            .where((F.col("shard") != F.col("target")) & ((F.col("members") < F.col("most")) | ((F.col("members") == F.col("most")) & (F.col("shard") > F.col("target")))))
-            .select("g", "begin", "shard", "n", "target")
+            state.join(here, ["g", "shard"])
+            .join(there, "g")
+            .where(more & (space[F.col("target")] >= F.col("n")))
+            .groupBy("g", "begin", "shard", "n")
+            .agg(F.max_by("target", F.struct("most", -F.col("target"))).alias("target"))
         )
-        wishes = stage_table(wishes, "wishes")
-        moved = grants(wishes, room).select("g", "begin", "target")
-        after = state.join(moved, ["g", "begin"], "left").select("g", "begin", F.coalesce("target", "shard").alias("shard"), "n")
-        after = stage_table(after, "cells")
-        if wishes.isEmpty():
-            return after
-        state = after
+        moved = stage_table(grants(stage_table(wishes, "wishes"), room).select("g", "begin", "target"), "moves")
+        if moved.isEmpty():
+            break
+        state = stage_table(state.join(moved, ["g", "begin"], "left").select("g", "begin", F.coalesce("target", "shard").alias("shard"), "n"), "cells")
     return state
 
 
@@ -104,7 +104,7 @@ def numbered(rows: DataFrame, by: list[str], order: list[str], total: int, name:
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard and copies (rows with this text)."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
     spark = docs.sparkSession
     rows = stage_table(digests(docs).withColumn("begin", start_shard(shards)), "digests")
     cells = rows.groupBy("g", "begin").agg(F.count("*").alias("n"))
