@@ -108,7 +108,7 @@ def test_gradients_are_differences():
             out[rows] += attention_lm._log_softmax(z[rows] @ p["m"][c] + p["mb"][c])[np.arange(len(rows)), t[rows] % attention_lm.MEMBERS]
         return -out.mean()
 
-    for name, at in (("q", (1, 2)), ("k", (3, 4)), ("v", (0, 5)), ("o", (2, 2)), ("h", (1, 7)), ("u", (3, 3)), ("pos", (9, 1)), ("c", (0, 3)), ("one", (int(one[1, 4]), 2)), ("m", (int(target[1, 1]) // 64, 3, 5))):
+    for name, at in (("q", (1, 2)), ("k", (3, 4)), ("v", (0, 5)), ("o", (2, 2)), ("h", (1, 7)), ("u", (3, 3)), ("pos", (9, 1)), ("c", (0, 3)), ("one", (int(one[1, 4]), 2)), ("m", (int(target[1, 1]) // attention_lm.MEMBERS, 3, 5))):
         kept = p[name][at]
         p[name][at] = kept + 1e-5
         up = loss()
