@@ -33,6 +33,8 @@ BITS, SEGMENT = 18, 256
 #: Labelled rows of each language that the fit takes at most; passes; words of a training chain.
 TRAIN_DOCS, PASSES, CHAIN = 384, 2, 48
 FOLDS, HELD = 4, 2
+#: Bytes of text whose features are held at once.
+BLOCK_BYTES = 1 << 19
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -64,7 +66,7 @@ def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code:
         add(np.repeat(np.arange(len(n)), many), ragged(starts, many), size, 16 + size)
     rows, at = np.concatenate(word), np.concatenate(salted)
     order = np.argsort(rows, kind="stable")
-    return (at[order] >> np.uint64(64 - BITS)).astype(np.int64), np.bincount(rows, minlength=len(n))
+    return (at[order] >> np.uint64(64 - BITS)).astype(np.int32), np.bincount(rows, minlength=len(n))
 
 
 def distinct_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +134,7 @@ class Crf:
     def shares(self, texts: pa.Array) -> np.ndarray:
         """texts x languages: the mean probability over the text's words."""
         out = []
-        for w in words(texts, marks=False):
+        for w in words(texts, most=BLOCK_BYTES, marks=False):
             p, n = self.label(w), w.counts()
             own = np.stack([np.bincount(w.doc, weights=p[:, j], minlength=w.docs) for j in range(len(self.langs))], axis=1)
             out.append(np.where(n[:, None] > 0, own / np.maximum(n, 1)[:, None], 1.0 / len(self.langs)))
@@ -157,14 +159,15 @@ def fit(texts: list[str], langs: list[str], passes: int = PASSES, seed: int = 5)
         return crf
     rng = np.random.default_rng(seed)
     feats, counts, owner, base, of_word = [], [], [], 0, []
-    for w in words(pa.array(texts, pa.string()), marks=False):
+    for w in words(pa.array(texts, pa.string()), most=BLOCK_BYTES, marks=False):
         at, n, inverse = distinct_words(w)
         feats.append(at)
         counts.append(n)
-        of_word.append(inverse + base)
-        owner.append(np.array([label[x] for x in langs[w.lo : w.hi]])[w.doc])
+        of_word.append((inverse + base).astype(np.int32))
+        owner.append(np.array([label[x] for x in langs[w.lo : w.hi]], dtype=np.int32)[w.doc])
         base += len(n)
     flat, n_of = np.concatenate(feats), np.concatenate(counts)
+    feats.clear()
     first = np.cumsum(n_of) - n_of
     word, gold = np.concatenate(of_word), np.concatenate(owner)
     whole = len(word) // CHAIN * CHAIN
@@ -222,7 +225,8 @@ def label_rows(crf: Crf | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            letter = np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()], dtype=bool)
+            slices = (texts.slice(i, 256).to_pylist() for i in range(0, len(texts), 256))
+            letter = np.array([bool(t) and _LETTER.search(t) is not None for part in slices for t in part], dtype=bool)
             names, score = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
             if crf is not None and len(texts):
                 share = crf.shares(texts)

@@ -110,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     got = texts.mapInArrow(feature_rows, "doc_id long, toxic int, at array<int>").dropDuplicates(["doc_id"]).toArrow()
     ids, y, at = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy(), got.column("at").combine_chunks()
     flat, cut = at.values.to_numpy(), at.offsets.to_numpy()
-    return fit([(flat[cut[i] : cut[i + 1]].astype(np.int64), int(y[i])) for i in np.argsort(ids)])
+    return fit([(flat[cut[i] : cut[i + 1]], int(y[i])) for i in np.argsort(ids)])
 
 
 def score_rows(model: Model):
