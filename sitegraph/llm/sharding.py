@@ -2,7 +2,8 @@
 
 Documents with equal texts are linked. Labels (shards) spread along the links by balanced label
 propagation: in each round a group's members ask to move to the shard that holds most of the group,
-and a shard grants what its quota leaves. The state of the rounds is not documents but cells: the
+and a shard grants what its quota and what leaves it in the same round allow, so that cells can trade
+places. The state of the rounds is not documents but cells: the
 members of a group that began in one shard move as one, so that a group has SHARDS cells at most,
 however many documents it has, and a group larger than a shard fills several.
 
@@ -23,6 +24,8 @@ from .common import only, read_table, stage_table
 SHARDS, ROUNDS = 16, 10
 #: Rows of one shard that one task numbers, about; hashed classes in which moves are granted.
 BUCKET_ROWS, CLASSES = 2048, 64
+#: A shard may be lent its quota's SLACK-th part while cells are exchanged.
+SLACK = 128
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -40,54 +43,84 @@ def start_shard(shards: int) -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
 
 
-def grants(wishes: DataFrame, room: dict[int, int]) -> DataFrame:
-    """Of wishes (g, begin, shard, n, target) those that the targets' room holds, larger cells first.
+def grants(wishes: DataFrame, left: dict[int, int], slack: int) -> DataFrame:
+    """Of wishes (g, begin, shard, n, target) those that fit, larger cells first.
 
-    Wishes are summed in classes (target, size by powers of two, hash), so many at most whatever the
-    input, and a class is granted as a whole if all before it and itself fit.
+    Wishes are summed in classes (shard, target, size by powers of two, hash of the group), so many at
+    most whatever the input, and a class is granted as a whole. What leaves a shard makes room in
+    it, so opposite moves, or moves in a ring, are granted together; slack is lent until they meet.
     """
     spark = wishes.sparkSession
-    wishes = wishes.withColumn("power", F.floor(F.log2("n")).cast("int")).withColumn("class", F.pmod(F.xxhash64("g", "begin"), F.lit(CLASSES)))
-    sums = wishes.groupBy("target", "power", "class").agg(F.sum("n").alias("n")).collect()
-    granted, left = [], dict(room)
-    for r in sorted(sums, key=lambda r: (r["target"], -r["power"], r["class"])):
-        if r["n"] <= left[r["target"]]:
-            left[r["target"]] -= r["n"]
-            granted.append((r["target"], r["power"], r["class"]))
+    wishes = wishes.withColumn("power", F.floor(F.log2("n")).cast("int")).withColumn("class", F.pmod(F.xxhash64("g"), F.lit(CLASSES)))
+    keys = ["shard", "target", "power", "class"]
+    sums = wishes.groupBy(*keys).agg(F.sum("n").alias("n")).collect()
+    waiting, left, granted = sorted(sums, key=lambda r: (-r["power"], r["class"], r["shard"], r["target"])), dict(left), []
+    while waiting:
+        later = []
+        for r in waiting:
+            if left[r["target"]] + slack >= r["n"]:
+                left[r["target"]] -= r["n"]
+                left[r["shard"]] += r["n"]
+                granted.append(tuple(r[k] for k in keys))
+            else:
+                later.append(r)
+        if len(later) == len(waiting):
+            break
+        waiting = later
     if not granted:
         return wishes.limit(0).drop("power", "class")
-    keys = spark.createDataFrame(granted, "target int, power int, class long")
-    return wishes.join(F.broadcast(keys), ["target", "power", "class"], "left_semi").drop("power", "class")
+    table = spark.createDataFrame(granted, "shard int, target int, power int, class long")
+    return wishes.join(F.broadcast(table), keys, "left_semi").drop("power", "class")
 
 
-def propagate(cells: DataFrame, quota: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """cells (g, begin, n) to (g, begin, shard): where each cell's members go.
+def settle(cells: DataFrame, quota: dict[int, int], slack: int, rounds: int) -> DataFrame:
+    """cells (g, begin, n) to (g, begin, shard, n) within quotas, but for slack.
 
-    A cell asks for the shard that holds most of its group among those that hold more of it than
-    its own and have room for it; equal shards go by their number, so that no two swap for ever.
+    A cell asks for the shard that holds most of its group among those that hold more of it than its
+    own and could take it; equal shards go by a hash of group and shard, so that all of a group ask for
+    the same one and no two swap for ever. Where a shard holds too much, groups ask for one with room.
     """
     state = stage_table(cells.select("g", "begin", F.col("begin").alias("shard"), "n"), "cells")
     for _ in range(rounds):
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        room = {s: max(0, quota - held.get(s, 0)) for s in range(shards)}
-        space = F.create_map(*[F.lit(x) for s, n in room.items() for x in (s, n)])
+        left = {s: q - held.get(s, 0) for s, q in quota.items()}
+        roomy = [s for s, n in left.items() if n > slack]
+        of = lambda d: F.create_map(*[F.lit(x) for s, n in d.items() for x in (s, n)])
+        space, size = of(left), of(quota)
+        tie = lambda shard: F.xxhash64("g", shard)
         here = state.groupBy("g", "shard").agg(F.sum("n").alias("members"))
-        there = here.select("g", F.col("shard").alias("target"), F.col("members").alias("most")).where(space[F.col("target")] > 0)
-        more = (F.col("most") > F.col("members")) | ((F.col("most") == F.col("members")) & (F.col("target") < F.col("shard")))
+        there = here.select("g", F.col("shard").alias("target"), F.col("members").alias("most"))
+        more = F.struct("most", tie("target")) > F.struct("members", tie("shard"))
+        # Small cells may be exchanged, so only the quota bounds them; large ones need room.
+        fits = (space[F.col("target")] >= F.col("n")) | ((F.col("n") <= slack) & (size[F.col("target")] > slack) & (space[F.col("target")] >= -slack))
+        pressed = space[F.col("shard")] < -slack
+        other = F.col("target") != F.col("shard")
         wishes = (
-            state.join(here, ["g", "shard"])
-            .join(there, "g")
-            .where(more & (space[F.col("target")] >= F.col("n")))
-            .groupBy("g", "begin", "shard", "n")
-            .agg(F.max_by("target", F.struct("most", -F.col("target"))).alias("target"))
+            state.join(here, ["g", "shard"]).join(there, "g").where(other & fits & (more | pressed))
+            .groupBy("g", "begin", "shard", "n").agg(F.max_by("target", F.struct("most", tie("target"))).alias("target"))
         )
-        moved = stage_table(grants(stage_table(wishes, "wishes"), room).select("g", "begin", "target"), "moves")
+        if roomy and any(n < -slack for n in left.values()):
+            anywhere = F.element_at(F.array(*[F.lit(s) for s in roomy]), (F.pmod(F.xxhash64("g"), F.lit(len(roomy))) + 1).cast("int"))
+            asked = wishes.select("g", "begin")
+            wishes = wishes.unionByName(state.where(pressed).join(asked, ["g", "begin"], "left_anti").withColumn("target", anywhere))
+        moved = stage_table(grants(stage_table(wishes, "wishes"), left, slack).select("g", "begin", "target"), "moves")
         if moved.isEmpty():
             break
         state = stage_table(state.join(moved, ["g", "begin"], "left").select("g", "begin", F.coalesce("target", "shard").alias("shard"), "n"), "cells")
     return state
 
 
+def propagate(cells: DataFrame, quota: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """cells (g, begin, n) to (g, begin, shard): where each cell's members go. Groups with cells too
+    large to be exchanged are settled first, the others in what these leave."""
+    slack = max(1, quota // SLACK)
+    heavy = cells.groupBy("g").agg(F.max("n").alias("top")).where(F.col("top") > slack).select("g")
+    large = settle(cells.join(heavy, "g", "left_semi"), {s: quota for s in range(shards)}, 0, rounds)
+    held = {r["shard"]: r["n"] for r in large.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    small = settle(cells.join(heavy, "g", "left_anti"), {s: quota - held.get(s, 0) for s in range(shards)}, slack, rounds)
+    return large.unionByName(small).select("g", "begin", "shard")
+
+
 def numbered(rows: DataFrame, by: list[str], order: list[str], total: int, name: str) -> DataFrame:
     """Adds name: the place of each row, from 0, among those of equal by; order's first column sorts
     before the rest, which only break ties within hashed buckets of bounded size."""
