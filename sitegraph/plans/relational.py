@@ -248,13 +248,29 @@ def host_features(spark, sf_dir):
 
 
 def domain_prefix(spark, sf_dir):
-    """Hosts whose label begins with a company's first token: an equi-join on the prefix's first four letters."""
+    """Hosts whose label begins with the first two letters of any company's name key: the blocks that hold
+    both. domain_candidates has the companies' own hosts."""
     hosts = table(spark, sf_dir, "pages").select(U.registered(U.plain_host(F.col("url"))).alias("host")).distinct().withColumn("label", F.substring_index("host", ".", 1))
     hosts = hosts.withColumn("block", F.substring("label", 1, 2))
     first = companies(spark, sf_dir).select(F.substring(T.name_key(F.col("name")), 1, 2).alias("block")).where("length(block) = 2").distinct()
     return first.join(hosts, "block").where(F.startswith("label", "block")).select("block", "host")
 
 
+def domain_candidates(spark, sf_dir):
+    """Each company with the hosts whose label begins with its whole name key in one word or with the key's
+    first token, of three letters at least: an equi-join on three letters, then the prefix test."""
+    hosts = table(spark, sf_dir, "pages").select(U.registered(U.plain_host(F.col("url"))).alias("host")).distinct().withColumn("label", F.substring_index("host", ".", 1))
+    hosts = hosts.withColumn("block", F.substring("label", 1, 3))
+    c = companies(spark, sf_dir).withColumn("key", T.name_key(F.col("name")))
+    # The whole key begins with the first token, so it decides only where that token is too short.
+    first, whole = F.substring_index("key", " ", 1), F.replace("key", F.lit(" "), F.lit(""))
+    start = F.when(F.length(first) >= 3, first).otherwise(whole)
+    names = c.select("doc_id", start.alias("start")).where("length(start) >= 3").withColumn("block", F.substring("start", 1, 3))
+    # Equal starts meet the hosts once.
+    met = names.select("block", "start").distinct().join(hosts, "block").where(F.startswith("label", "start")).select("start", "host")
+    return names.join(met, "start").select("doc_id", "host")
+
+
 def quality_checks(spark, sf_dir):
     o = table(spark, sf_dir, "lineitem")
     return o.groupBy("l_returnflag").agg(
@@ -280,7 +296,7 @@ QUERIES = {
         url_normalize, url_host, host_classes, website_propagate, site_aggregate, unit_detail, latest_version, keep_first_id, cache_upsert,
         register_name_join, register_only, register_exact_join, address_geocode, postcode_district, objective_industrial, industrial_flag,
         validate_contract, display_filter, selection_filters, name_search, serving_page, extract_cube, nest_counts, raw_fields, summary_counts,
-        field_coverage, area_distribution, state_boxes, toggle_counts, smallest_zone, host_features, domain_prefix, quality_checks, pair_agreement,
+        field_coverage, area_distribution, state_boxes, toggle_counts, smallest_zone, host_features, domain_prefix, domain_candidates, quality_checks, pair_agreement,
     )
 }
 
@@ -346,6 +362,7 @@ ORACLE_SQL = {
     "smallest_zone": f"WITH {COMPANIES_SQL}, p AS (SELECT doc_id AS id, longitude + 0.0003::DOUBLE AS x, latitude + 0.0003::DOUBLE AS y FROM co) SELECT id, CASE WHEN x > 8.25 AND x < 8.75 AND y > 53.25 AND y < 53.75 THEN 'core' WHEN x > 8.0 AND x < 8.5 AND y > 53.0 AND y < 54.1 THEN 'west' WHEN x > 8.5 AND x < 9.1 AND y > 53.0 AND y < 54.1 THEN 'east' END AS zone FROM p",
     "host_features": f"SELECT {_REG} AS host, count(*)::BIGINT AS hits, count(DISTINCT page_id % 5)::BIGINT AS engines, min(page_id) AS best_rank, bool_or(page_id % 5 = 0) AS first_engine FROM pages GROUP BY 1",
     "domain_prefix": f"{_KEYS}, h AS (SELECT DISTINCT {_REG} AS host FROM pages), b AS (SELECT DISTINCT substr(key, 1, 2) AS block FROM k WHERE length(key) >= 2) SELECT block, host FROM b JOIN h ON starts_with(string_split(host, '.')[1], block)",
+    "domain_candidates": f"{_KEYS}, h AS (SELECT DISTINCT {_REG} AS host FROM pages), s AS (SELECT doc_id, string_split(key, ' ')[1] AS first, replace(key, ' ', '') AS whole FROM k) SELECT doc_id, host FROM s JOIN h ON (length(first) >= 3 AND starts_with(string_split(host, '.')[1], first)) OR (length(whole) >= 3 AND starts_with(string_split(host, '.')[1], whole))",
     "quality_checks": "SELECT l_returnflag, count(*)::BIGINT AS n, count(*) FILTER (WHERE NOT regexp_matches(l_linestatus, '^[OP]$'))::BIGINT AS bad_status, count(*) FILTER (WHERE NOT l_quantity BETWEEN 1 AND 40)::BIGINT AS out_of_range, count(DISTINCT l_suppkey)::BIGINT AS suppliers, floor(quantile_cont(l_quantity, 0.99) * 1000 + 0.5)::BIGINT AS p99_milli FROM lineitem GROUP BY 1",
     "pair_agreement": f"{_KEYS}, a AS (SELECT count(*) AS n FROM k WHERE key <> '' GROUP BY key, postcode), b AS (SELECT count(*) AS n FROM k WHERE key <> '' GROUP BY key, state), c AS (SELECT count(*) AS n FROM k WHERE key <> '' GROUP BY key, postcode, state) SELECT (SELECT sum(n * (n - 1) // 2) FROM a)::BIGINT AS first, (SELECT sum(n * (n - 1) // 2) FROM b)::BIGINT AS second, (SELECT sum(n * (n - 1) // 2) FROM c)::BIGINT AS both",
 }
