@@ -7,6 +7,7 @@ bytes modulo 2**64, taken from one running sum over the whole block, then mixed
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +15,37 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
+#: Bytes of text whose words are held at once.
+BLOCK_BYTES = 1 << 18
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    # Large arrays go back to the system when they are freed: 3 is the size from which they are
+    # mapped one by one, 1 the free room at the top that is kept.
+    _LIBC.mallopt(-3, 1 << 22)
+    _LIBC.mallopt(-1, 1 << 22)
+except (OSError, AttributeError):
+    _LIBC = None
+
+
+def release() -> None:
+    """Give free memory back, for workers that stay while other stages run."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def lean(run):
+    """A mapInArrow function that gives its free memory back when its task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -21,7 +53,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _table(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers["up"]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, BLOCK_BYTES + 1)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base, dtype=_U)
             steps[0] = 1
@@ -86,7 +118,7 @@ def blocks(at: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo = min(hi, n)
 
 
-def words(texts: pa.Array, most: int = 1 << 20, marks: bool = True) -> Iterator[Words]:
+def words(texts: pa.Array, most: int = BLOCK_BYTES, marks: bool = True) -> Iterator[Words]:
     """Without marks a word holds ASCII letters, digits and bytes of other scripts alone."""
     raw, at = text_bytes(texts)
     for lo, hi in blocks(at, most):
