@@ -75,6 +75,46 @@ def test_families(spark, seed, monkeypatch):
     check(spark.createDataFrame(family(seed), "doc_id long, text string"), 3, 60)
 
 
+def test_ids_that_several_texts_share(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (5, a), (5, b), (7, b), (3, b + " c"), (7, ""), (9, None), (9, "alone with some words"), (11, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(docs, 3, 90)
+    got = {(r["doc_id"], r["component_id"]) for r in tgm_join.ngram_jaccard(docs, 3, 90).collect()}
+    assert {(i, 1) for i in (1, 5, 7, 3)} <= got
+
+
+def test_large_family(spark):
+    """2000 near copies: their groups stay few, and so do the cells that are met."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        w[rng.randrange(len(w))] = f"x{i % 900}"
+        rows.append((i, " ".join(w)))
+    rows += [(3000 + i, " ".join(base[:40] + [f"y{i}z{j}" for j in range(40)])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = docs.mapInArrow(tgm_join.class_rows(5, 80, np.zeros(0, np.uint64), np.zeros(0, np.int64)), "doc_id long, n long, node binary, bands array<long>, first array<long>")
+    classes = classes.dropDuplicates(["node"])
+    groups = tgm_join.grouped(classes).groupBy("g").count().collect()
+    assert sorted(r["count"] for r in groups)[-1] > 0.9 * 1900
+    check(docs, 5, 80)
+
+
+def test_bound_between_the_sizes():
+    """No member of any size needs fewer shared first tokens than the bound of its group asks."""
+    for percent in (80, 90):
+        need = lambda n, m: -(-(n + m) * percent // (100 + percent))
+        rest = lambda n: -(-n * percent // 100) - 1
+        asked = lambda n, m: need(n, m) - max(rest(n), rest(m))
+        for n in range(1, 200):
+            least, most = -(-n * percent // 100), n * 100 // percent
+            for lo in range(least, most + 1):
+                bound = min(asked(n, lo), asked(n, most)) - (most > n)
+                assert bound <= min(asked(n, m) for m in range(lo, most + 1))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, j) for j in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     random.Random(0).shuffle(edges)
