@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sitegraph.llm import components, langid, packing, tgm_join, toxicity
@@ -96,7 +97,7 @@ def test_large_family(spark):
     rows += [(3000 + i, " ".join(base[:40] + [f"y{i}z{j}" for j in range(40)])) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     classes = docs.mapInArrow(tgm_join.class_rows(5, 80, np.zeros(0, np.uint64), np.zeros(0, np.int64)), "doc_id long, n long, node binary, bands array<long>, first array<long>")
-    classes = classes.dropDuplicates(["node"])
+    classes = classes.dropDuplicates(["node"]).withColumn("c", F.xxhash64("node"))
     groups = tgm_join.grouped(classes).groupBy("g").count().collect()
     assert sorted(r["count"] for r in groups)[-1] > 0.9 * 1900
     check(docs, 5, 80)
