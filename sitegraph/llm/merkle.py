@@ -2,15 +2,16 @@
 
 A text's lines are its sections; a section's paragraphs are its sentences, cut again where one
 runs past LEAF_CHARS. The tree's root is a digest of the section digests, a section's a digest of
-its paragraph digests. Equal roots mean equal texts; where roots differ, the sections and then the
-paragraphs that differ tell where the edit is (see differing()).
+its paragraph digests, all of them whole. Equal roots mean equal texts; where roots differ, the
+sections and then the paragraphs that differ tell where the edit is (see differing()).
 
-The fingerprint is the tree as text: root, then each section's digest and its paragraphs'. Its
-likeness to another is the Dice measure of the two sets of paragraph digests.
+The fingerprint is the tree as text: the root, then each section's and its paragraphs' digests, of
+which SECTION_HEX and LEAF_HEX digits are written. Its likeness to another is the Dice measure of
+the two sets of written paragraph digests.
 
 Defined results: a null text counts as empty; the empty text has one empty section; two empty
 texts have likeness 1; the row after the last is the first, so a table of one row follows itself;
-rows that repeat a doc_id are ordered by their text; a null id comes first; extra columns are ignored.
+rows that repeat a doc_id are ordered by a hash of their text; a null id comes first; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,34 +21,34 @@ from pyspark.sql import functions as F
 
 from .common import only, read_table, stage_table
 
-#: Most characters of a paragraph leaf, and hex digits of a leaf's and a section's digest.
-LEAF_CHARS, LEAF_HEX, SECTION_HEX = 96, 10, 16
+#: Most characters of a paragraph leaf, and hex digits written of a leaf's and a section's digest.
+LEAF_CHARS, LEAF_HEX, SECTION_HEX = 96, 16, 16
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
 LEAF = rf"[^.!?]{{1,{LEAF_CHARS}}}[.!?]*|[.!?]+"
 
 
 def leaf_digests(text: Column) -> Column:
-    """array<array<string>>: for each section the digests of its paragraphs."""
+    """array<array<string>>: for each section the whole digests of its paragraphs."""
     return F.transform(
         F.split(text, "\n", -1),
-        lambda s: F.transform(
-            F.regexp_extract_all(s, F.lit(LEAF), F.lit(0)), lambda p: F.substring(F.md5(p), 1, LEAF_HEX)
-        ),
+        lambda s: F.transform(F.regexp_extract_all(s, F.lit(LEAF), F.lit(0)), lambda p: F.md5(p)),
     )
 
 
-def tree_of(leaves: Column) -> Column:
-    """The sections' digests with their paragraphs': digest:leaf,leaf,..."""
-    return F.transform(
-        F.transform(leaves, lambda s: F.array_join(s, ",")),
-        lambda j: F.concat(F.substring(F.md5(j), 1, SECTION_HEX), F.lit(":"), j),
-    )
+def written(leaves: Column) -> Column:
+    """What a fingerprint holds of each paragraph's digest."""
+    return F.transform(leaves, lambda x: F.substring(x, 1, LEAF_HEX))
 
 
-def fingerprint_of(tree: Column) -> Column:
-    body = F.array_join(tree, ";")
-    return F.concat(F.sha2(F.array_join(F.transform(tree, lambda s: F.substring(s, 1, SECTION_HEX)), ";"), 256), F.lit("|"), body)
+def fingerprint_of(leaves: Column) -> Column:
+    """root|section:leaf,leaf,...;section:leaf,... from leaf_digests()."""
+    sections = F.transform(leaves, lambda s: F.md5(F.array_join(s, ",")))
+    body = F.transform(
+        F.arrays_zip(sections.alias("x"), leaves.alias("y")),
+        lambda z: F.concat(F.substring(z["x"], 1, SECTION_HEX), F.lit(":"), F.array_join(written(z["y"]), ",")),
+    )
+    return F.concat(F.sha2(F.array_join(sections, ";"), 256), F.lit("|"), F.array_join(body, ";"))
 
 
 def leaf_set(fingerprint: Column) -> Column:
@@ -79,7 +80,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, fingerprint for each row of docs(doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return only(docs, "doc_id", "text").select(
-        "doc_id", F.length(text).cast("long").alias("n_chars"), fingerprint_of(tree_of(leaf_digests(text))).alias("fingerprint")
+        "doc_id", F.length(text).cast("long").alias("n_chars"), fingerprint_of(leaf_digests(text)).alias("fingerprint")
     )
 
 
@@ -123,7 +124,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.col("b_k").alias("k"),
         F.col("b_h").alias("h"),
         F.expr("substring(text, 1, cast(need AS int))").alias("head"),
-        F.array_join(F.array_distinct(F.flatten(leaf_digests(F.col("text")))), ",").alias("next_leaves"),
+        F.array_join(F.array_distinct(written(F.flatten(leaf_digests(F.col("text"))))), ",").alias("next_leaves"),
     ).dropDuplicates(["k", "h"])
     rows = texts.join(sent, ["k", "h"]).withColumn("n", F.length("text").cast("long"))
     rows = rows.withColumn("doc_id", F.when(F.col("k") != NO_ID, F.col("k")))
@@ -135,15 +136,15 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.concat(F.expr("substring(text, 1, cast(n - floor(n / 4) AS int))"), "head").alias("edited"),
     )
     rows = rows.withColumn("edited_leaves", leaf_digests(F.col("edited"))).withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
-    own = F.array_distinct(F.flatten("leaves"))
-    changed = F.array_distinct(F.flatten("edited_leaves"))
+    own = F.array_distinct(written(F.flatten("leaves")))
+    changed = F.array_distinct(written(F.flatten("edited_leaves")))
     theirs = F.filter(F.split("next_leaves", ","), lambda x: x != "")
     return rows.select(
         "doc_id",
         F.col("n").alias("n_chars"),
         "edited_sha256",
-        fingerprint_of(tree_of(F.col("leaves"))).alias("fingerprint"),
-        fingerprint_of(tree_of(F.col("edited_leaves"))).alias("edited_fingerprint"),
+        fingerprint_of(F.col("leaves")).alias("fingerprint"),
+        fingerprint_of(F.col("edited_leaves")).alias("edited_fingerprint"),
         set_likeness(own, changed).alias("near_edited"),
         set_likeness(own, theirs).alias("near_next"),
     )
@@ -154,9 +155,11 @@ def op4_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LEAF = LEAF.replace("{", "{{").replace("}", "}}")
-_TREE = f"""list_transform(string_split({{t}}, chr(10)), lambda s: list_transform(regexp_extract_all(s, '{_LEAF}'), lambda p: substr(md5(p), 1, {LEAF_HEX})))"""
-_BODY = f"""list_transform({{l}}, lambda s: substr(md5(array_to_string(s, ',')), 1, {SECTION_HEX}) || ':' || array_to_string(s, ','))"""
-_PRINT = f"""sha256(array_to_string(list_transform({{b}}, lambda x: substr(x, 1, {SECTION_HEX})), ';')) || '|' || array_to_string({{b}}, ';')"""
+_TREE = f"""list_transform(string_split({{t}}, chr(10)), lambda s: list_transform(regexp_extract_all(s, '{_LEAF}'), lambda p: md5(p)))"""
+_ROOT = """sha256(array_to_string(list_transform({l}, lambda s: md5(array_to_string(s, ','))), ';'))"""
+_BODY = f"""list_transform({{l}}, lambda s: substr(md5(array_to_string(s, ',')), 1, {SECTION_HEX}) || ':' || array_to_string(list_transform(s, lambda x: substr(x, 1, {LEAF_HEX})), ','))"""
+_SET = f"""list_distinct(list_transform(flatten({{l}}), lambda x: substr(x, 1, {LEAF_HEX})))"""
+_PRINT = f"""{_ROOT} || '|' || array_to_string({_BODY}, ';')"""
 _NEAR = """CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"""
 
 ORACLE_SQL = f"""
@@ -169,10 +172,10 @@ WITH d AS (
 ), g AS (
   SELECT doc_id, n, ed, {_TREE.format(t="t")} AS l, {_TREE.format(t="ed")} AS el, {_TREE.format(t="nx")} AS nl FROM f
 ), h AS (
-  SELECT doc_id, n, ed, {_BODY.format(l="l")} AS b, {_BODY.format(l="el")} AS eb,
-         list_distinct(flatten(l)) AS a, list_distinct(flatten(el)) AS ea, list_distinct(flatten(nl)) AS na FROM g
+  SELECT doc_id, n, ed, {_PRINT.format(l="l")} AS p, {_PRINT.format(l="el")} AS ep,
+         {_SET.format(l="l")} AS a, {_SET.format(l="el")} AS ea, {_SET.format(l="nl")} AS na FROM g
 )
-SELECT doc_id, n AS n_chars, sha256(ed) AS edited_sha256, {_PRINT.format(b="b")} AS fingerprint,
-       {_PRINT.format(b="eb")} AS edited_fingerprint, {_NEAR.format(a="a", b="ea")} AS near_edited, {_NEAR.format(a="a", b="na")} AS near_next
+SELECT doc_id, n AS n_chars, sha256(ed) AS edited_sha256, p AS fingerprint, ep AS edited_fingerprint,
+       {_NEAR.format(a="a", b="ea")} AS near_edited, {_NEAR.format(a="a", b="na")} AS near_next
 FROM h
 """
