@@ -1,10 +1,11 @@
 """Exact de-duplication by recipes of content-defined chunks (DataFrame functions only).
 
 Every normalised text is cut where its own content says so, so that equal passages give equal
-chunks wherever they stand. A chunk's bytes are moved once, to give each distinct chunk an
-identifier; texts are then compared as ordered identifier lists, which are about a hundredth
-of their length. An identifier is (64-bit key, variant): chunks of one key are compared byte by
-byte, and the variant tells different ones apart, so that a key collision cannot merge texts.
+chunks wherever they stand. The texts are read once, for their recipes: a key and a SHA-256 digest
+for each chunk. Each distinct key and digest is moved once, to give the chunk a verified identifier;
+texts are then compared as ordered identifier lists, which are about a hundredth of their length.
+An identifier is (64-bit key, variant): where chunks of one key differ in their digests, the
+variant tells them apart, so that a key collision cannot merge texts.
 
 Defined results: a null text counts as empty, all empty texts are equal; rows that repeat a
 doc_id share its fate; null ids sort after all others and stay only where no row of the group has
@@ -36,17 +37,16 @@ def chunks_of(norm: Column) -> Column:
     return F.regexp_extract_all(norm, F.lit(chunk_pattern()), F.lit(0))
 
 
-def clashing_chunks(base: DataFrame, key_of) -> DataFrame:
-    """key, variant, clash_chunk of the keys that several distinct chunks have; variants 0, 1, ...
-    go in byte order. This is the one place that moves chunk bytes, each distinct chunk once."""
-    keyed = base.select(F.explode(chunks_of(F.col("norm"))).alias("chunk"))
-    keyed = keyed.select(key_of("chunk").alias("key"), "chunk").distinct()
+def clashing_chunks(made: DataFrame) -> DataFrame:
+    """key, variant, clash_digest of the keys that several distinct chunks have; variants 0, 1, ...
+    go in digest order. No chunk's bytes are moved, and each distinct digest once."""
+    keyed = made.select(F.explode("recipe").alias("r")).select("r.key", "r.digest").distinct()
     several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     return (
         keyed.join(several, "key", "left_semi")
         .groupBy("key")
-        .agg(F.array_sort(F.collect_list("chunk")).alias("same"))
-        .select("key", F.posexplode("same").alias("variant", "clash_chunk"))
+        .agg(F.array_sort(F.collect_list("digest")).alias("same"))
+        .select("key", F.posexplode("same").alias("variant", "clash_digest"))
     )
 
 
@@ -56,16 +56,16 @@ def chunk_recipes(docs: DataFrame, key_of=F.xxhash64) -> DataFrame:
     variants lists (position, variant) where a key has several chunks, and is empty elsewhere.
     """
     base = only(docs, "doc_id", "text").select("doc_id", normalised(F.col("text")).alias("norm"))
-    sha = F.sha2(F.col("norm"), 256).alias("text_sha256")
-    recipes = base.select("doc_id", sha, F.transform(chunks_of(F.col("norm")), lambda c: key_of(c)).alias("keys"))
-    clash = stage_table(clashing_chunks(base, key_of), "clashing_chunks")
+    recipe = F.transform(chunks_of(F.col("norm")), lambda c: F.struct(key_of(c).alias("key"), F.unhex(F.sha2(c, 256)).alias("digest")))
+    made = stage_table(base.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), recipe.alias("recipe")), "recipes")
+    recipes = made.select("doc_id", "text_sha256", F.col("recipe.key").alias("keys"))
+    clash = stage_table(clashing_chunks(made), "clashing_chunks")
     if clash.isEmpty():
         return recipes.withColumn("variants", F.lit(""))
     variants = (
-        base.select(sha, F.posexplode(chunks_of(F.col("norm"))).alias("pos", "chunk"))
-        .withColumn("key", key_of("chunk"))
-        .join(clash, "key")
-        .where((F.col("chunk") == F.col("clash_chunk")) & (F.col("variant") > 0))
+        made.select("text_sha256", F.posexplode("recipe").alias("pos", "r"))
+        .join(clash, (F.col("r.key") == F.col("key")) & (F.col("r.digest") == F.col("clash_digest")))
+        .where("variant > 0")
         .groupBy(F.col("text_sha256").alias("v_sha"))
         .agg(F.to_json(F.array_sort(F.collect_set(F.struct("pos", "variant")))).alias("variants"))
     )

@@ -62,6 +62,23 @@ def test_merkle_null_id_and_single(nulls, spark):
     assert one["near_next"] == 1.0
 
 
+def test_unequal_texts_have_unequal_roots(spark):
+    """These two share the first 40 bits of their digests."""
+    rows = spark.createDataFrame([(1, "para 908510."), (2, "para 2383121."), (3, "para 908510.")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in merkle.edited_fingerprints(rows).collect()}
+    assert got[1]["fingerprint"] == got[3]["fingerprint"] != got[2]["fingerprint"]
+    assert got[1]["near_next"] == 0.0 and got[3]["near_next"] == 1.0
+
+
+def test_rows_that_share_an_id(spark):
+    """Rows of one id follow one another by their texts, null ids come first."""
+    rows = [(7, "b. c."), (7, "a. d."), (None, "x."), (9, None)]
+    got = sorted(merkle.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=str)
+    assert len(got) == 4 and sorted(r["n_chars"] for r in got) == [0, 2, 5, 5]
+    prints = {r["fingerprint"] for r in got}
+    assert len(prints) == 4
+
+
 def test_merkle_finds_the_edit(spark):
     a, b = "one.\ntwo. three.\nfour.", "one.\ntwo. 3.\nfour."
     rows = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
