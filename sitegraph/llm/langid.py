@@ -5,8 +5,9 @@ Each word gets a language: its scores come from hashed affixes, letter n-grams a
 by word with forward-backward. A document's language is the one with the largest share of its
 words' probability.
 
-A chain is a segment of at most SEGMENT words, so that a text of any length is labelled whole in
-bounded memory. The fit takes a bounded sample, TRAIN_DOCS rows of each language by hash of their
+A text is one chain, however long. Chains are worked through in segments of SEGMENT words side by
+side: each segment's transfer matrix carries the exact messages over its borders, and the words
+inside are then done from those. The fit takes a bounded sample, TRAIN_DOCS rows of each language by hash of their
 id outside the held-out fold, and splices segments of different languages to learn transitions.
 
 Defined results: a null text or one without a letter is `und` with score 0; a text with letters but
@@ -23,18 +24,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fold, only, read_table
-from .wordvec import Words, mix, ragged, words
+from .wordvec import Words, lean, mix, ragged, words
 
 BITS, SEGMENT = 18, 256
 #: Labelled rows of each language that the fit takes at most; passes; words of a training chain.
 TRAIN_DOCS, PASSES, CHAIN = 384, 2, 48
 FOLDS, HELD = 4, 2
 #: Bytes of text whose features are held at once.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -76,28 +77,73 @@ def distinct_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, n, inverse
 
 
+def live_counts(n: np.ndarray) -> np.ndarray:
+    """For each step how many of the chains, the longest first, still have a word there."""
+    return np.searchsorted(-n, -np.arange(int(n[0]) if len(n) else 0), side="left")
+
+
+def segments(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chain, the number within it and the length of each segment of chains with so many words."""
+    parts = -(-counts // SEGMENT)
+    chain = np.repeat(np.arange(len(counts)), parts)
+    k = ragged(np.zeros(len(counts), dtype=np.int64), parts)
+    return chain, k, np.minimum(SEGMENT, counts[chain] - k * SEGMENT)
+
+
+def border_messages(local: np.ndarray, trans: np.ndarray, s0: np.ndarray, chain: np.ndarray, k: np.ndarray, length: np.ndarray):
+    """For each segment: the factor at its first word, and the message that reaches its last one from behind."""
+    labels = local.shape[1]
+    first, last = np.tile(s0, (len(chain), 1)), np.full((len(chain), labels), 1.0 / labels)
+    long = np.flatnonzero(np.bincount(chain)[chain] > 1)
+    if not len(long):
+        return first, last
+    order = long[np.argsort(-length[long], kind="stable")]
+    begin = (np.cumsum(length) - length)[order]
+    live = live_counts(length[order])
+    carry = np.where((k[order] == 0)[:, None, None], np.eye(labels), trans) * local[begin][:, None, :]
+    for t in range(1, len(live)):
+        m = live[t]
+        step = (carry[:m] @ trans) * local[begin[:m] + t][:, None, :]
+        carry[:m] = step / step.sum(axis=(1, 2), keepdims=True)
+    matrix = np.empty((len(chain), labels, labels))
+    matrix[order] = carry
+    reach = np.tile(s0, (len(chain), 1))
+    for i in range(1, int(k.max()) + 1):
+        at = np.flatnonzero(k == i)
+        ends = np.einsum("ni,nij->nj", reach[at - 1], matrix[at - 1])
+        reach[at] = ends / ends.sum(axis=1, keepdims=True)
+        first[at] = reach[at] @ trans
+    for i in range(int(k.max()), 0, -1):
+        at = np.flatnonzero(k == i)
+        back = np.einsum("nij,nj->ni", matrix[at], last[at])
+        last[at - 1] = back / back.sum(axis=1, keepdims=True)
+    return first, last
+
+
 def marginals(emit: np.ndarray, length: np.ndarray, start: np.ndarray, move: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
     """Forward-backward over chains laid one after another (emit: words x labels, log scale).
 
-    All chains go step by step together, the longest first. Returns each word's probabilities; adds
-    the expected number of each transition to pairs if given.
+    All segments go step by step together, the longest first. Returns each word's probabilities;
+    adds the expected number of each transition to pairs if given (chains of one segment only).
     """
-    labels = emit.shape[1]
-    order = np.argsort(-length, kind="stable")
-    n = length[order]
-    begin = (np.cumsum(length) - length)[order]
     local = np.exp(emit - emit.max(axis=1, keepdims=True))
-    trans = np.exp(move - move.max())
+    trans, s0 = np.exp(move - move.max()), np.exp(start - start.max())
+    chain, k, size = segments(length)
+    first, last = border_messages(local, trans, s0, chain, k, size)
+    order = np.argsort(-size, kind="stable")
+    n = size[order]
+    begin = (np.cumsum(size) - size)[order]
+    first, last = first[order], last[order]
     ahead, back = np.empty_like(local), np.empty_like(local)
-    live = np.searchsorted(-n, -np.arange(int(n[0]) if len(n) else 0), side="left")
+    live = live_counts(n)
     for t in range(len(live)):
         at = begin[: live[t]] + t
-        a = local[at] * (np.exp(start - start.max()) if t == 0 else ahead[at - 1] @ trans)
+        a = local[at] * (first[: live[t]] if t == 0 else ahead[at - 1] @ trans)
         ahead[at] = a / a.sum(axis=1, keepdims=True)
     for t in range(len(live) - 1, -1, -1):
-        k = live[t]
-        at = begin[:k] + t
-        b = np.full((k, labels), 1.0 / labels)
+        m = live[t]
+        at = begin[:m] + t
+        b = last[:m].copy()
         more = live[t + 1] if t + 1 < len(live) else 0
         if more:
             nxt = local[at[:more] + 1] * back[at[:more] + 1]
@@ -129,7 +175,7 @@ class Crf:
         if not len(w.hash):
             return np.zeros((0, len(self.langs)))
         at, n, inverse = distinct_words(w)
-        return marginals(self.emissions(at, n)[inverse], segments(w.counts()), self.start, self.move)
+        return marginals(self.emissions(at, n)[inverse], w.counts(), self.start, self.move)
 
     def shares(self, texts: pa.Array) -> np.ndarray:
         """texts x languages: the mean probability over the text's words."""
@@ -141,14 +187,6 @@ class Crf:
         return np.concatenate(out) if out else np.zeros((0, len(self.langs)))
 
 
-def segments(counts: np.ndarray) -> np.ndarray:
-    """The lengths of the chains that texts with so many words are cut into."""
-    parts = -(-counts // SEGMENT)
-    which = np.repeat(np.arange(len(counts)), parts)
-    k = ragged(np.zeros(len(counts), dtype=np.int64), parts)
-    return np.minimum(SEGMENT, counts[which] - k * SEGMENT)
-
-
 def fit(texts: list[str], langs: list[str], passes: int = PASSES, seed: int = 5) -> Crf:
     """Likelihood ascent with a rate for each coordinate, on chains of one language and spliced ones."""
     names = sorted(set(langs))
@@ -209,16 +247,12 @@ def fit(texts: list[str], langs: list[str], passes: int = PASSES, seed: int = 5)
 def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Crf | None:
     """Fit on rows of each language outside the held-out fold; None without any label."""
     known = only(docs, "doc_id", "text", "lang").where((fold("doc_id", FOLDS) != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = sorted(r["lang"] for r in known.select("lang").distinct().collect())
-    if not names:
-        return None
-    taken = None
-    for name in names:
-        part = known.where(F.col("lang") == name).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-        taken = part if taken is None else taken.unionByName(part)
-    chosen = known.join(F.broadcast(taken.distinct()), ["doc_id", "lang"]).select("doc_id", "lang", "text")
+    # One pass takes the least id hashes of every language: the rank's limit goes before the shuffle.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    taken = known.select("doc_id", "lang").withColumn("place", place).where(F.col("place") <= rows).select("doc_id", "lang").distinct()
+    chosen = known.join(F.broadcast(taken), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     got = sorted(chosen.dropDuplicates(["doc_id", "lang"]).collect())
-    return fit([r["text"] for r in got], [r["lang"] for r in got])
+    return fit([r["text"] for r in got], [r["lang"] for r in got]) if got else None
 
 
 def label_rows(crf: Crf | None):
@@ -241,7 +275,7 @@ def label_rows(crf: Crf | None):
 def languages(docs: DataFrame, crf: Crf | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row."""
     rows = only(docs, "doc_id", "text").select("doc_id", (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
-    return rows.mapInArrow(label_rows(crf), "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(lean(label_rows(crf)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, crf: Crf | None) -> DataFrame:
@@ -253,7 +287,7 @@ def keep_known(docs: DataFrame, crf: Crf | None) -> DataFrame:
             found = next(label_rows(crf)(iter([rows]))).column("lang_pred")
             yield batch.filter(pc.not_equal(found, "und"))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op8_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

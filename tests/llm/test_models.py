@@ -74,6 +74,16 @@ def test_forward_backward_is_enumeration():
     assert np.allclose(got, want) and np.allclose(pairs, want_pairs)
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 7])
+def test_messages_over_the_borders_of_segments_are_exact(size, monkeypatch):
+    rng = np.random.default_rng(size)
+    lengths = np.array([1, 40, 5, 7, 14, 23, 2])
+    emit, start, move = rng.normal(size=(lengths.sum(), 4)) * 3, rng.normal(size=4), rng.normal(size=(4, 4)) * 2
+    whole = langid.marginals(emit, lengths, start, move)
+    monkeypatch.setattr(langid, "SEGMENT", size)
+    assert np.allclose(langid.marginals(emit, lengths, start, move), whole, atol=1e-12)
+
+
 def test_code_switch_is_labelled_word_by_word(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     crf = langid.train(docs)
