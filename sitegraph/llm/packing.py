@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import only, read_table, stage_table
 from .pretoken import encode_texts, in_blocks, library_memory, lowered
+from .wordvec import lean
 
 VOCABULARY, CAPACITY, END_ID = "word_bpe_49k.json", 2048, 0
 GROUPS, LARGE_PARTS, STEPS = 40, 8, 400
@@ -45,7 +46,7 @@ def cut_pieces(path: str, capacity: int, end_id: int):
         memory = library_memory(path)
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
-            texts = [lowered(t or "") for t in batch.column("text").to_pylist()]
+            texts = [lowered(t or "", memory) for t in batch.column("text").to_pylist()]
             for lo, hi in in_blocks(texts):
                 ids, at = encode_texts(texts[lo:hi], memory, spaced=False)
                 raw = memoryview(np.insert(ids, at[1:], end_id).astype("<u4").tobytes())
@@ -62,7 +63,7 @@ def cut_pieces(path: str, capacity: int, end_id: int):
 
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return only(docs, "doc_id", "text").mapInArrow(cut_pieces(path, capacity, end_id), schema)
+    return only(docs, "doc_id", "text").mapInArrow(lean(cut_pieces(path, capacity, end_id)), schema)
 
 
 def configurations(sizes: list[int], need: list[int], capacity: int, steps: int = STEPS) -> list[tuple[list[int], float]]:

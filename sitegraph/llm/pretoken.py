@@ -32,6 +32,23 @@ def classes() -> np.ndarray:
     return kinds
 
 
+@cache
+def library_classes() -> np.ndarray:
+    """The classes as the tokenizers library's own patterns see them, whose Unicode tables may be newer."""
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    kinds = np.full(0x110000, OTHER, dtype=np.uint8)
+    for lo in range(0, 0x110000, 1 << 11):
+        if 0xD800 <= lo < 0xE000:
+            continue
+        text = "".join(map(chr, range(lo, lo + (1 << 11))))
+        for kind, pattern in ((LETTER, r"[^\p{L}]+"), (NUMBER, r"[^\p{N}]+"), (SPACE, r"\S+")):
+            for _, (a, b) in Split(Regex(pattern), "removed").pre_tokenize_str(text):
+                kinds[lo + a : lo + b] = kind
+    return kinds
+
+
 def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts and where each begins, with the end last."""
     n = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
@@ -40,14 +57,14 @@ def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32), at
 
 
-def match_starts(cps: np.ndarray, at: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+def match_starts(cps: np.ndarray, at: np.ndarray, spaced: bool, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the pattern's matches begin, and each one's class at its first character.
 
     spaced: the pattern of the rank files (a blank goes with the run behind it, digits stay
     together); otherwise that of the word vocabulary (each digit alone; the caller drops white space).
     """
     n = len(cps)
-    kind = classes()[cps]
+    kind = kinds[cps]
     begin = np.zeros(n + 1, dtype=bool)
     begin[at] = True
     run = np.ones(n + 1, dtype=bool)
@@ -84,8 +101,9 @@ def match_starts(cps: np.ndarray, at: np.ndarray, spaced: bool) -> tuple[np.ndar
 class Remembered:
     """Ids of the distinct matches that this worker has met, in one flat array."""
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = REMEMBERED):
+    def __init__(self, encode: Callable[[str], list[int]], limit: int = REMEMBERED, kinds: np.ndarray | None = None):
         self.encode, self.limit = encode, limit
+        self.kinds = classes() if kinds is None else kinds
         self.clear()
 
     def clear(self) -> None:
@@ -121,7 +139,7 @@ def encode_texts(texts: list[str], memory: Remembered, spaced: bool) -> tuple[np
     cps, at = points(texts)
     if not len(cps):
         return np.zeros(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
-    starts, kind = match_starts(cps, at, spaced)
+    starts, kind = match_starts(cps, at, spaced, memory.kinds)
     ends = np.append(starts[1:], len(cps))
     if not spaced:
         keep = kind != SPACE
@@ -172,11 +190,11 @@ def library_memory(path: str) -> Remembered:
     def encode(piece: str) -> list[int]:
         return [t.id for t in model.tokenize("".join([letters[b] for b in piece.encode()]))]
 
-    memory = Remembered(encode)
+    memory = Remembered(encode, kinds=library_classes())
     memory.tokenizer = tokenizer
     return memory
 
 
-def lowered(text: str) -> str:
-    """The normaliser of the word vocabulary: NFC, then each code point lower-cased by itself."""
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+def lowered(text: str, memory: Remembered) -> str:
+    """The text as the vocabulary's own normaliser leaves it, but for white space."""
+    return text.lower() if text.isascii() else memory.tokenizer.normalizer.normalize_str(text)
