@@ -2,8 +2,9 @@
 
 Documents are encoded with a published vocabulary, an end id is appended to each, and the ids are
 laid down in ascending doc_id order. A shard is one range of doc_ids, written as blocks of about
-BLOCK_IDS ids. In a block frequent pairs of neighbouring ids are replaced by nonterminals again
-and again; the block keeps the rules, the length that each nonterminal expands to, and where each
+BLOCK_IDS ids. In a block the most frequent pairs of neighbouring symbols are replaced by nonterminals
+until none pays any more: a rule pays from LEAST occurrences on, and as long as symbols need not get
+wider for it; a pass pays if it removes one symbol in LEAST_GAIN. The block keeps the rules, the length that each nonterminal expands to, and where each
 document's symbols begin, so that any document can be decoded alone.
 
 Defined results: a null text is empty and has the end id alone; null ids come first; rows that
@@ -28,62 +29,87 @@ from .pretoken import encode_texts, in_blocks, library_memory
 from .wordvec import ragged
 
 BLOCK_IDS = 1 << 20
-#: Passes of replacement, most rules a pass, fewest occurrences of a pair worth a rule.
-PASSES, RULES_PER_PASS, LEAST = 5, 1024, 24
+#: Most rules a pass; fewest occurrences of a pair worth the twelve bytes of a rule.
+RULES_PER_PASS, LEAST, LEAST_GAIN = 4096, 8, 1000
 _MAGIC, _HEAD, _BUCKET_BITS = b"RPB1", "<4sIIIII", 18
 VOCABULARY = "byte_bpe_50k.json"
 BLOCK_SCHEMA = "shard int, block int, before long, n_ids long, payload binary"
 
 
+def frequent_pairs(bucket: np.ndarray, seq: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (their two symbols as one number) of LEAST occurrences at least, the most frequent of
+    their pass, with the places of each and its number. bucket: each place's, the last one for none.
+
+    Places are counted by bucket and the fullest buckets are looked into: one of each's pairs is
+    counted exactly. Where none of those is frequent enough, all of their pairs are.
+    """
+    none = np.zeros(0, dtype=np.int64)
+    n = np.bincount(bucket, minlength=(1 << _BUCKET_BITS) + 1)
+    n[-1] = 0
+    full = np.flatnonzero(n >= LEAST)
+    if not len(full):
+        return none, none, none
+    if len(full) > most:
+        full = full[np.argsort(-n[full], kind="stable")[:most]]
+    number = np.full(len(n), -1, dtype=np.int32)
+    number[full] = np.arange(len(full), dtype=np.int32)
+    own = number[bucket]
+    at = np.flatnonzero(own >= 0)
+    own, key = own[at], (seq[at].astype(np.int64) << 32) | seq[at + 1]
+    pairs = np.zeros(len(full), dtype=np.int64)
+    pairs[own[::-1]] = key[::-1]
+    hit = key == pairs[own]
+    times = np.bincount(own[hit], minlength=len(full))
+    if not (times >= LEAST).any():
+        at = np.flatnonzero(bucket < 1 << _BUCKET_BITS)
+        key = (seq[at].astype(np.int64) << 32) | seq[at + 1]
+        every, own, times = np.unique(key, return_inverse=True, return_counts=True)
+        best = np.argsort(-times, kind="stable")[:most]
+        best = best[times[best] >= LEAST]
+        number = np.full(len(every), -1, dtype=np.int64)
+        number[best] = np.arange(len(best))
+        own = number[own]
+        return every[best], at[own >= 0], own[own >= 0]
+    number = np.cumsum(times >= LEAST) - 1
+    hit &= times[own] >= LEAST
+    return pairs[times >= LEAST], at[hit], number[own[hit]]
+
+
 def compress_pairs(seq: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, their last-of-document marks and the rules (n x 2) after PASSES passes.
+    """Symbols, their last-of-document marks and the rules (n x 2); no pair goes across a mark.
 
-    last marks the ids that end a document; no pair goes across it. Pairs are counted in hashed
-    buckets; in each of the fullest buckets one pair is counted exactly and replaced, so that a
-    pair that shares a bucket gets its turn in a later pass, which hashes otherwise.
+    Each pass hashes otherwise, so that a pair that shares a bucket gets its turn.
     """
-    seq, rules, nxt = seq.astype(np.int64), [], first_rule
-    for turn in range(PASSES):
-        if len(seq) < 2:
-            break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-        odd = np.uint64(0x9E3779B97F4A7C15 + 2 * turn)
-        bucket = ((key * odd) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
-        open_ = ~last[:-1]
-        n = np.bincount(bucket[open_], minlength=1 << _BUCKET_BITS)
-        full = np.flatnonzero(n >= LEAST)
-        if len(full) > RULES_PER_PASS:
-            full = full[np.argsort(-n[full], kind="stable")[:RULES_PER_PASS]]
-        number = np.full(1 << _BUCKET_BITS, -1)
-        number[full] = np.arange(len(full))
-        at = np.flatnonzero(open_ & (number[bucket] >= 0))
-        if not len(at):
-            break
-        own = number[bucket[at]]
-        chosen = np.zeros(len(full), dtype=np.uint64)
-        chosen[own[::-1]] = key[at[::-1]]
-        hit = key[at] == chosen[own]
-        at, own = at[hit], own[hit]
-        enough = np.bincount(own, minlength=len(full)) >= LEAST
-        at, own = at[enough[own]], own[enough[own]]
+    seq, rules, nxt = seq.astype(np.uint32), [], first_rule
+    limit = 1 << (16 if first_rule <= 1 << 16 else 32)
+    rng = np.random.default_rng(len(seq))
+    while len(seq) > 1 and nxt < limit:
+        odd = rng.integers(1 << 31, 1 << 32, 2, dtype=np.uint32) | np.uint32(1)
+        bucket = ((seq[:-1] * odd[0] + seq[1:] * odd[1]) >> np.uint32(32 - _BUCKET_BITS)).astype(np.int64)
+        bucket[last[:-1]] = 1 << _BUCKET_BITS
+        pairs, at, own = frequent_pairs(bucket, seq, min(RULES_PER_PASS, limit - nxt))
         if not len(at):
             break
+        # Where replacements would overlap, every second one of a run is taken.
         fresh = np.ones(len(at), dtype=bool)
         fresh[1:] = at[1:] != at[:-1] + 1
         run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
         free = (np.arange(len(at)) - run) % 2 == 0
         at, own = at[free], own[free]
-        used, rule = np.unique(own, return_inverse=True)
-        pairs = chosen[used]
-        rules.append(np.stack([(pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)], axis=1))
-        seq[at] = nxt + rule
+        used = np.zeros(len(pairs), dtype=bool)
+        used[own] = True
+        rule = np.cumsum(used) - 1
+        rules.append(np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1))
+        seq[at] = (nxt + rule[own]).astype(np.uint32)
         last = last.copy()
         last[at] = last[at + 1]
         stay = np.ones(len(seq), dtype=bool)
         stay[at + 1] = False
         seq, last = seq[stay], last[stay]
-        nxt += len(used)
-    return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
+        nxt += int(used.sum())
+        if LEAST_GAIN * len(at) < len(stay):
+            break
+    return seq.astype(np.int64), last, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
 
 
 def pack_block(doc_ids: list, ids: np.ndarray, ends: np.ndarray) -> bytes:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -36,10 +37,22 @@ def strange(n, seed):
 @pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_same_ids_as_the_library(name, spaced):
     encode, memory, texts = library(name), pretoken.library_memory(P.path(name)), strange(1500, 3)
-    ids, at = pretoken.encode_texts([t if spaced else pretoken.lowered(t) for t in texts], memory, spaced)
+    ids, at = pretoken.encode_texts([t if spaced else pretoken.lowered(t, memory) for t in texts], memory, spaced)
     assert all(ids[at[i] : at[i + 1]].tolist() == encode(t) for i, t in enumerate(texts))
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_every_code_point(name, spaced):
+    """Beside a letter, a digit and a blank, each code point is split and normalised as the library does."""
+    encode, memory = library(name), pretoken.library_memory(P.path(name))
+    points = [chr(p) for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    points = [c for c in points if unicodedata.category(c) not in ("Co", "Cn") or ord(c) < 0x20000]
+    texts = ["".join(f"a{c}1 {c}" for c in points[i : i + 128]) for i in range(0, len(points), 128)]
+    for t in texts:
+        ids, _ = pretoken.encode_texts([t if spaced else pretoken.lowered(t, memory)], memory, spaced)
+        assert ids.tolist() == encode(t)
+
+
 def test_prefix_encoding_is_tiktokens():
     encoding, texts = reference(), [*strange(1500, 5), "a" * 3000, "-=" * 900, "abc" * 1000]
     _, memory, table = bpe_prefix.worker_memory(P.path(bpe_prefix.VOCABULARY))
@@ -86,6 +99,23 @@ def test_repair_round_trip_and_random_access():
         repair.Block(b"XXXX" + payload[4:])
 
 
+def test_repair_stops_only_where_no_pair_pays():
+    """Of a block of words no pair of neighbours in a document is left LEAST times, nor is it larger than its plain ids."""
+    rng = random.Random(2)
+    memory, lexicon = pretoken.library_memory(P.path(repair.VOCABULARY)), strange(60, 4)
+    texts = [" ".join(rng.choice(lexicon) for _ in range(30)) for _ in range(150)]
+    ids, at = pretoken.encode_texts(texts, memory, True)
+    ids, ends = np.insert(ids, at[1:], 0), at[1:] + np.arange(1, len(texts) + 1)
+    assert len(repair.pack_block(list(range(len(texts))), ids, ends)) < 0.4 * 2 * len(ids)
+    last = np.zeros(len(ids), dtype=bool)
+    last[ends - 1] = True
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(repair, "LEAST_GAIN", 1 << 40)
+        seq, marks, rules = repair.compress_pairs(ids, last, int(ids.max()) + 1)
+    pairs = (seq[:-1] << 32 | seq[1:])[~marks[:-1] & (seq[:-1] != seq[1:])]
+    assert len(rules) and np.unique(pairs, return_counts=True)[1].max() < repair.LEAST
+
+
 def test_repair_query(odd, nulls, none, spark, tmp_path):
     encode = library(repair.VOCABULARY)
     for n, docs in enumerate((odd, nulls, none)):
