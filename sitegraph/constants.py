@@ -61,3 +61,79 @@ TRACKING = ["utm_", "fbclid", "gclid", "mc_cid", "mc_eid", "ref"]
 
 # Bounds of plausible positions and areas.
 LAT_BOUNDS, LON_BOUNDS, AREA_MAX_M2 = (45.0, 56.0), (4.0, 17.0), 5e7
+
+# Rarity of shared tokens that a score of 80 to 89 needs, one token or two.
+IDF_RARE, IDF_COMMON = 11.0, 9.0
+# The register sources and the kinds of match, best first.
+REGISTER_SOURCES = ["hr2022", "gleif", "hr2019"]
+MATCH_RANKS = ["name_plz_street", "name_plz", "name_city"]
+
+# Words that tell nothing about a firm in a search for its site, and in a host's label.
+GENERIC_WORDS = [
+    "gmbh", "und", "der", "die", "das", "von", "fuer", "mit", "bei", "am", "im", "an",
+    "shop", "service", "center", "haus", "praxis", "buero", "stadt", "bremen", "hamburg",
+    "kiosk", "apotheke", "baeckerei", "restaurant", "hotel", "cafe", "bar", "imbiss",
+    "friseur", "salon", "studio", "markt", "laden", "werkstatt", "gaststätte", "gaststaette",
+]
+TRADE_WORDS = [
+    "entsorgung", "online", "group", "gruppe", "germany", "deutschland", "international", "industrie",
+    "industries", "technik", "technologie", "logistik", "logistics", "energie", "energy", "solar",
+    "metall", "stahl", "bau", "handel", "consulting", "systems", "system", "service", "services",
+    "recycling", "umwelt", "transport", "spedition", "werft", "werk", "werke", "gmbh", "shop", "web",
+    "immobilien", "holding", "beteiligung", "beteiligungen", "verwaltung", "vermietung", "grundstueck",
+    "grundstuecke", "asset", "management", "invest", "capital", "partner", "partners", "projekt", "projekte",
+    "umspannwerk", "gleichrichterwerk", "blockheizkraftwerk", "klaeranlage", "zentralklaeranlage", "pumpwerk",
+    "wasserwerk", "heizwerk", "heizkraftwerk", "trafostation", "tankstelle", "halle", "lager", "lagerhalle",
+    "gewerbegebiet", "industriegebiet", "industriepark", "gewerbepark", "bahnhof", "hafen", "terminal",
+    "kraftwerk", "station", "anlage", "betrieb", "zentrale", "niederlassung", "filiale", "standort",
+    "nord", "sued", "ost", "west", "mitte", "neu", "alt", "gross", "klein", "ober", "unter",
+]
+LABEL_SUFFIXES = [
+    "gmbh", "kg", "ag", "ug", "ohg", "gbr", "ev", "shop", "online", "24", "group", "gruppe", "web", "home",
+    "de", "germany", "deutschland", "service", "services", "logistik", "logistics", "technik", "bau",
+    "bremen", "bremerhaven", "hb", "nord", "north", "official", "site", "portal", "info", "net",
+]
+QUERY_WORDS = [
+    "gmbh", "impressum", "und", "der", "die", "das", "co", "kg", "ag", "ug", "ohg", "gbr", "ev", "e.v.", "str", "strasse",
+    "stadt", "haus", "shop", "service", "group", "gruppe", "germany", "deutschland", "international", "industrie",
+]
+
+# Hosts of listings, profiles and parcel shops, of networks whose pages are a firm's own,
+# hosts below a listing that are a firm's own, and words of a label that name no brand.
+SOCIAL_HOSTS = [
+    "facebook.com", "fb.com", "fb.me", "instagram.com", "linktr.ee", "twitter.com", "x.com",
+    "linkedin.com", "xing.com", "youtube.com", "youtu.be", "tiktok.com", "pinterest.com",
+    "pinterest.de", "threads.net", "wa.me", "whatsapp.com", "t.me", "telegram.me", "vimeo.com",
+    "flickr.com", "tumblr.com", "snapchat.com", "twitch.tv", "discord.gg", "discord.com", "facebook.de", "m.me",
+]
+PARCEL_HOSTS = ["paketshop.myhermes.de", "myhermes.de", "dpd.com", "gls-pakete.de", "gls-group.eu", "ups.com", "fedex.com", "packstation.de"]
+OWN_HOSTS = ["sites.google.com", "business.site", "jimdosite.com", "jimdofree.com"]
+SEARCH_HOSTS = ["wikipedia.org", "wikidata.org", "openstreetmap.org", "google.com", "google.de", "bing.com"]
+BRAND_STOP = [
+    "de", "com", "net", "org", "eu", "www", "online", "vor", "ort", "agentur", "betreuer",
+    "shop", "portal", "web", "service", "filialen", "standorte", "stores", "store", "hotel",
+    "hotels", "markt", "maerkte", "gesundheit", "group", "gruppe", "info", "app", "home",
+    "mein", "meine", "dein", "deine", "unser",
+]
+# The words of a link to an imprint, the best first.
+IMPRINT_WORDS = [
+    "impressum", "imprint", "anbieterkennzeichnung", "rechtliche-hinweise", "rechtliche hinweise",
+    "rechtliches", "legal-notice", "legal notice", "legalnotice", "legal", "kontakt", "contact",
+]
+
+# kW that a unit needs by kind, the kinds that only consume, the states in operation.
+FLOOR_KW = {"solar": 100.0, "storage": 100.0, "wind": 50.0, "biomass": 50.0, "hydro": 50.0, "combustion": 50.0, "gsgk": 50.0}
+CONSUMERS = ["gas_consumption", "electricity_consumption"]
+IN_OPERATION = ["In Betrieb", "InBetrieb", "35"]
+# Business types by words of an industry section's label, the first that it holds.
+SECTION_TYPES = [
+    ("energieversorgung", "power"), ("verarbeitendes gewerbe", "industrial"), ("bergbau", "industrial"),
+    ("wasserversorgung", "industrial"), ("land- und forstwirtschaft", "industrial"), ("verkehr und lagerei", "industrial"),
+    ("baugewerbe", "craft"), ("handel", "shop"), ("gastgewerbe", "amenity"), ("gesundheits", "amenity"),
+    ("erziehung", "amenity"), ("kunst", "amenity"), ("sport", "amenity"), ("abschnitt", "office"),
+]
+# Chapters of the activity list, and bands of heat in MWh a year.
+ACTIVITY_GROUPS = {"1": "energy", "2": "metals", "3": "minerals", "4": "chemicals", "5": "waste", "6": "other"}
+HEAT_BANDS = [(1_000, "< 1 GWh/a"), (10_000, "1–10 GWh/a"), (100_000, "10–100 GWh/a")]
+# Columns that are never published.
+PRIVATE_COLUMNS = ["email", "geometry"]
