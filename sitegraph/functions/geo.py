@@ -67,3 +67,19 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
         lambda a, b: ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"]),
     )
     return F.size(F.filter(cross, lambda c: c)) % 2 == 1
+
+
+def metres_to_ring(lon: Column, lat: Column, ring: Column) -> Column:
+    """Metres from a point to a ring in degrees, on a plane that touches the globe at the point; 0 within it."""
+    east, north = F.cos(F.radians(lat)) * F.lit(111_320.0), F.lit(110_540.0)
+    flat = F.transform(ring, lambda p: F.struct(((p["x"] - lon) * east).alias("x"), ((p["y"] - lat) * north).alias("y")))
+    nxt = F.concat(F.slice(flat, 2, F.size(flat)), F.slice(flat, 1, 1))
+
+    def reach(a: Column, b: Column) -> Column:
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        size = dx * dx + dy * dy
+        t = F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(a["x"] * dx + a["y"] * dy) / size))).otherwise(0.0)
+        x, y = a["x"] + t * dx, a["y"] + t * dy
+        return F.sqrt(x * x + y * y)
+
+    return F.when(in_ring(lon, lat, ring), 0.0).otherwise(F.array_min(F.zip_with(flat, nxt, reach)))

@@ -9,8 +9,8 @@ from .. import constants as C
 from ..functions import text as T
 from ..functions import url as U
 from ..functions.geo import ring_area
-from ..operators import geometry, register, serve
-from .adapter import COMPANIES_SQL, common_sql, companies, name_key_sql, table
+from ..operators import geometry, serve
+from .adapter import COMPANIES_SQL, companies, name_key_sql, table
 
 
 def _flat(spark, sf_dir):
@@ -28,15 +28,6 @@ def url_host(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", h.alias("host"), U.registered(h).alias("registered"))
 
 
-def host_classes(spark, sf_dir):
-    """Hosts that many pages share: a chain, or a directory where nearly every page names another firm.
-    The page's number stands for the name; the thresholds are parameters of the rule."""
-    p = table(spark, sf_dir, "pages").select(U.plain_host(F.col("url")).alias("host"), (F.col("page_id") % 7).alias("name"))
-    s = p.groupBy("host").agg(F.count("*").alias("rows"), F.count_distinct("name").alias("names"))
-    directory = (F.col("rows") >= 10) & (F.col("names") >= F.col("rows") * 0.5)
-    return s.select("host", "rows", "names", F.when(directory, "directory").when(F.col("rows") >= 4, "chain").otherwise("own").alias("kind"))
-
-
 def website_propagate(spark, sf_dir):
     """Rows without a site take that of the first row with their name key and postcode."""
     c = companies(spark, sf_dir).withColumn("key", T.name_key(F.col("name")))
@@ -92,33 +83,20 @@ def _register(spark, sf_dir):
     return left, names
 
 
-def register_name_join(spark, sf_dir):
-    """The best register entry of each company and whether another firm comes as close."""
-    pairs = register.name_candidates(*_register(spark, sf_dir))
-    return register.best_with_ambiguity(pairs, F.col("rkf")).select("id", "hr_id", "score", "register_match")
-
-
 def register_only(spark, sf_dir):
     """Register entries that no company of the map has: an anti join on the key."""
     left, names = _register(spark, sf_dir)
     return names.join(left.select(F.col("kf").alias("rkf"), "postcode"), ["rkf", "postcode"], "left_anti").select("hr_id", "rkf", "postcode")
 
 
-def register_exact_join(spark, sf_dir):
-    """Orders by their number's last digits as register numbers; only numbers that one customer has decide."""
-    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 1000).alias("number"), "o_custkey")
-    one = o.groupBy("number").agg(F.count_distinct("o_custkey").alias("owners"), F.min("o_custkey").alias("owner"))
-    c = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 1000).alias("number"))
-    return c.join(one, "number", "left").select("c_custkey", F.when(F.col("owners") == 1, F.col("owner")).alias("owner"), F.coalesce("owners", F.lit(0)).cast("long").alias("owners"))
-
-
 def address_geocode(spark, sf_dir):
-    """Places by exact address, else by the street's centre; sums in thousandths keep the means exact."""
+    """Places by exact address, else by the street's centre in its postcode; whole numbers keep the means exact."""
     c = companies(spark, sf_dir).withColumns({"skey": T.street_key(F.col("street")), "m": F.floor(F.col("latitude") * 10000 + 0.5).cast("long")})
+    c = c.withColumn("road", F.regexp_replace("skey", " [0-9]+[a-z]?$", ""))
     index = c.where("skey <> '' AND source = 'osm'")
     exact = index.groupBy("postcode", "skey").agg(F.sum("m").alias("s"), F.count("*").alias("n"))
-    area = index.groupBy(F.col("postcode").alias("a_postcode")).agg(F.sum("m").alias("as"), F.count("*").alias("an"))
-    out = c.where("source <> 'osm'").join(exact, ["postcode", "skey"], "left").join(area, F.col("postcode") == F.col("a_postcode"), "left")
+    area = index.groupBy(F.col("postcode").alias("a_postcode"), F.col("road").alias("a_road")).agg(F.sum("m").alias("as"), F.count("*").alias("an"))
+    out = c.where("source <> 'osm'").join(exact, ["postcode", "skey"], "left").join(area, (F.col("postcode") == F.col("a_postcode")) & (F.col("road") == F.col("a_road")), "left")
     mean = lambda s, n: F.floor(F.col(s) / F.col(n) + 0.5).cast("long")
     return out.select("doc_id", F.coalesce(mean("s", "n"), mean("as", "an")).alias("lat_e4"), F.when(F.col("n") > 0, "exact").when(F.col("an") > 0, "street").otherwise("none").alias("method"))
 
@@ -155,7 +133,7 @@ def validate_contract(spark, sf_dir):
         (F.count("id") - F.count_distinct("id")).alias("duplicate_ids"),
         F.count_if(F.col("source").isNull()).alias("null_sources"),
         F.count_if(outside("latitude", C.LAT_BOUNDS) | outside("longitude", C.LON_BOUNDS)).alias("outside"),
-        F.count_if((F.col("area") <= 0) | (F.col("area") > 5000)).alias("odd_areas"),
+        F.count_if((F.col("area") <= 0) | (F.col("area") * 20_000 > C.AREA_MAX_M2)).alias("odd_areas"),
     )
 
 
@@ -247,15 +225,6 @@ def host_features(spark, sf_dir):
     return p.groupBy("host").agg(F.count("*").alias("hits"), F.count_distinct("engine").alias("engines"), F.min("page_id").alias("best_rank"), F.max(F.col("engine") == 0).alias("first_engine"))
 
 
-def domain_prefix(spark, sf_dir):
-    """Hosts whose label begins with the first two letters of any company's name key: the blocks that hold
-    both. domain_candidates has the companies' own hosts."""
-    hosts = table(spark, sf_dir, "pages").select(U.registered(U.plain_host(F.col("url"))).alias("host")).distinct().withColumn("label", F.substring_index("host", ".", 1))
-    hosts = hosts.withColumn("block", F.substring("label", 1, 2))
-    first = companies(spark, sf_dir).select(F.substring(T.name_key(F.col("name")), 1, 2).alias("block")).where("length(block) = 2").distinct()
-    return first.join(hosts, "block").where(F.startswith("label", "block")).select("block", "host")
-
-
 def domain_candidates(spark, sf_dir):
     """Each company with the hosts whose label begins with its whole name key in one word or with the key's
     first token, of three letters at least: an equi-join on three letters, then the prefix test."""
@@ -293,10 +262,10 @@ def pair_agreement(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        url_normalize, url_host, host_classes, website_propagate, site_aggregate, unit_detail, latest_version, keep_first_id, cache_upsert,
-        register_name_join, register_only, register_exact_join, address_geocode, postcode_district, objective_industrial, industrial_flag,
+        url_normalize, url_host, website_propagate, site_aggregate, unit_detail, latest_version, keep_first_id, cache_upsert,
+        register_only, address_geocode, postcode_district, objective_industrial, industrial_flag,
         validate_contract, display_filter, selection_filters, name_search, serving_page, extract_cube, nest_counts, raw_fields, summary_counts,
-        field_coverage, area_distribution, state_boxes, toggle_counts, smallest_zone, host_features, domain_prefix, domain_candidates, quality_checks, pair_agreement,
+        field_coverage, area_distribution, state_boxes, toggle_counts, smallest_zone, host_features, domain_candidates, quality_checks, pair_agreement,
     )
 }
 
@@ -306,34 +275,9 @@ _CO = f"WITH {COMPANIES_SQL}, f AS (SELECT *, 1::BIGINT AS source_count, source
 _KEYS = f"WITH {COMPANIES_SQL}, k AS (SELECT *, {name_key_sql('name')} AS key FROM co)"
 _E6 = "floor(quantile_cont({0}, {1}) * 1e6 + 0.5)::BIGINT"
 
-_SPELL = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
-_REGISTER = f"""{_KEYS}, l AS (
-  SELECT *, {name_key_sql('name', False)} AS kl FROM k
-), n AS (
-  SELECT postcode, key AS rkf, kl AS rkl, 'hr_' || min(doc_id) AS hr_id FROM l WHERE key <> '' OR kl <> '' GROUP BY ALL
-), p AS (
-  SELECT l.id, l.key AS kf, l.kl, n.rkf, n.rkl, n.hr_id FROM l JOIN n USING (postcode) WHERE source <> 'overture'
-), w AS (
-  SELECT kf AS a, rkf AS b FROM p WHERE kf <> '' AND rkf <> '' UNION SELECT kl, rkl FROM p WHERE kl <> '' AND rkl <> ''
-), v AS (
-  SELECT a, b, {_SPELL.format('a')} AS s, {_SPELL.format('b')} AS t FROM w
-), r AS (
-  SELECT a, b, CASE WHEN s = t THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {common_sql('s', 't')} / (length(s) + length(t)) END AS ratio FROM v
-), c AS (
-  SELECT id, hr_id, rkf, floor(greatest(coalesce(x.ratio, 0), coalesce(y.ratio, 0)) + 0.5)::INT AS score
-  FROM p LEFT JOIN r x ON x.a = kf AND x.b = rkf LEFT JOIN r y ON y.a = kl AND y.b = rkl
-), q AS (
-  SELECT *, row_number() OVER o AS rn, lead(score) OVER o AS ns, lead(rkf) OVER o AS nf FROM c WHERE score >= 80
-  WINDOW o AS (PARTITION BY id ORDER BY score DESC, hr_id)
-)
-SELECT id, hr_id, score, CASE WHEN score - ns < 5 AND nf <> rkf AND NOT (score = 100 AND ns < 100) THEN 'ambiguous' ELSE 'name_plz' END AS register_match
-FROM q WHERE rn = 1"""
-
 ORACLE_SQL = {
-    "register_name_join": _REGISTER,
     "url_host": f"SELECT page_id, {_HOST} AS host, {_REG} AS registered FROM pages",
     "url_normalize": "WITH p AS (SELECT page_id, regexp_extract(url, '^([A-Za-z]+)://([^/?#]*)([^?#]*)[?]?([^#]*)', ['scheme', 'host', 'path', 'query']) AS u FROM pages), q AS (SELECT page_id, u, array_to_string(list_filter(string_split(u.query, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_|fbclid|gclid|mc_cid|mc_eid|ref)')), '&') AS kept FROM p) SELECT page_id, lower(u.scheme) || '://' || lower(u.host) || rtrim(u.path, '/') || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS normalized FROM q",
-    "host_classes": f"WITH s AS (SELECT {_HOST} AS host, count(*)::BIGINT AS rows, count(DISTINCT page_id % 7)::BIGINT AS names FROM pages GROUP BY 1) SELECT host, rows, names, CASE WHEN rows >= 10 AND names >= rows * 0.5 THEN 'directory' WHEN rows >= 4 THEN 'chain' ELSE 'own' END AS kind FROM s",
     "website_propagate": f"{_KEYS}, d AS (SELECT key, postcode, arg_min(website, doc_id) AS donor FROM k WHERE website IS NOT NULL AND key <> '' GROUP BY ALL) SELECT doc_id, coalesce(website, donor) AS website, CASE WHEN website IS NOT NULL THEN 'extract' WHEN donor IS NOT NULL THEN 'propagated' END AS website_source FROM k LEFT JOIN d USING (key, postcode)",
     "site_aggregate": "WITH g AS (SELECT l_suppkey, sum(floor(l_quantity + 0.5)::BIGINT)::BIGINT AS heat, sum(floor(l_quantity + 0.5)::BIGINT * floor(l_discount * 100 + 0.5)::BIGINT)::BIGINT AS moment, count(*)::BIGINT AS units, list_sort(list(DISTINCT l_returnflag))[1:5] AS names FROM lineitem GROUP BY 1) SELECT l_suppkey, heat, units, floor(moment::DOUBLE * 1000 / heat + 0.5)::BIGINT AS mean_milli, array_to_string(names, ', ') AS names FROM g",
     "unit_detail": "WITH u AS (SELECT l_orderkey, l_returnflag, string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber) AS units FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, string_agg(l_returnflag || ':' || units, ';' ORDER BY l_returnflag || ':' || units) AS detail FROM u GROUP BY 1",
@@ -341,11 +285,10 @@ ORACLE_SQL = {
     "keep_first_id": "SELECT o_custkey, min(o_orderkey) AS o_orderkey, arg_min(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1",
     "cache_upsert": "WITH e AS (SELECT user_id, event_type, event_id + CASE WHEN event_type = 'click' THEN 1000000000 ELSE 0 END AS event_id FROM events) SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id)::BIGINT AS event_id FROM e GROUP BY 1",
     "register_only": f"{_KEYS}, n AS (SELECT postcode, key, {name_key_sql('name', False)} AS kl, min(doc_id) AS m FROM k WHERE key <> '' OR {name_key_sql('name', False)} <> '' GROUP BY ALL) SELECT 'hr_' || m AS hr_id, key AS rkf, postcode FROM n WHERE (key, postcode) NOT IN (SELECT key, postcode FROM k WHERE source <> 'overture')",
-    "register_exact_join": "WITH one AS (SELECT o_orderkey % 1000 AS number, count(DISTINCT o_custkey)::BIGINT AS owners, min(o_custkey) AS owner FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN owners = 1 THEN owner END AS owner, coalesce(owners, 0)::BIGINT AS owners FROM customer LEFT JOIN one ON one.number = c_custkey % 1000",
-    "address_geocode": f"WITH {COMPANIES_SQL}, c AS (SELECT *, CASE WHEN street IS NULL THEN '' ELSE 'hauptstrasse ' || (h % 40 + 1) END AS skey, floor(latitude * 10000 + 0.5)::BIGINT AS m FROM co), i AS (SELECT * FROM c WHERE skey <> '' AND source = 'osm'), x AS (SELECT postcode, skey, sum(m)::DOUBLE AS s, count(*) AS n FROM i GROUP BY ALL), a AS (SELECT postcode, sum(m)::DOUBLE AS s, count(*) AS n FROM i GROUP BY ALL) SELECT doc_id, coalesce(floor(x.s / x.n + 0.5)::BIGINT, floor(a.s / a.n + 0.5)::BIGINT) AS lat_e4, CASE WHEN x.n > 0 THEN 'exact' WHEN a.n > 0 THEN 'street' ELSE 'none' END AS method FROM c LEFT JOIN x ON c.postcode = x.postcode AND c.skey = x.skey LEFT JOIN a ON c.postcode = a.postcode WHERE source <> 'osm'",
+    "address_geocode": f"WITH {COMPANIES_SQL}, c AS (SELECT *, CASE WHEN street IS NULL THEN '' ELSE 'hauptstrasse ' || (h % 40 + 1) END AS skey, CASE WHEN street IS NULL THEN '' ELSE 'hauptstrasse' END AS road, floor(latitude * 10000 + 0.5)::BIGINT AS m FROM co), i AS (SELECT * FROM c WHERE skey <> '' AND source = 'osm'), x AS (SELECT postcode, skey, sum(m)::DOUBLE AS s, count(*) AS n FROM i GROUP BY ALL), a AS (SELECT postcode, road, sum(m)::DOUBLE AS s, count(*) AS n FROM i GROUP BY ALL) SELECT doc_id, coalesce(floor(x.s / x.n + 0.5)::BIGINT, floor(a.s / a.n + 0.5)::BIGINT) AS lat_e4, CASE WHEN x.n > 0 THEN 'exact' WHEN a.n > 0 THEN 'street' ELSE 'none' END AS method FROM c LEFT JOIN x ON c.postcode = x.postcode AND c.skey = x.skey LEFT JOIN a ON c.postcode = a.postcode AND c.road = a.road WHERE source <> 'osm'",
     "postcode_district": f"WITH {COMPANIES_SQL}, g AS (SELECT postcode, district, count(*) AS n FROM co GROUP BY ALL) SELECT postcode, district FROM g QUALIFY row_number() OVER (PARTITION BY postcode ORDER BY n DESC, district) = 1",
     "objective_industrial": f"WITH {COMPANIES_SQL}, w AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'herstellung von moebeln ' || business_type || CASE WHEN doc_id % 3 = 0 THEN ' und vermietung' ELSE '' END ELSE 'handel ' || lower(name) END AS t FROM co) SELECT doc_id, list_bool_or(list_transform([{', '.join(map(repr, C.OBJECTIVE_KEYWORDS))}], lambda k: contains(t, k))) AND NOT list_bool_or(list_transform([{', '.join(map(repr, C.OBJECTIVE_EXCLUDE))}], lambda k: contains(t, k))) AS industrial FROM w",
-    "validate_contract": f"WITH {COMPANIES_SQL} SELECT count(*) FILTER (WHERE id IS NULL)::BIGINT AS null_ids, (count(id) - count(DISTINCT id))::BIGINT AS duplicate_ids, count(*) FILTER (WHERE source IS NULL)::BIGINT AS null_sources, count(*) FILTER (WHERE latitude < 45 OR latitude > 56 OR longitude < 4 OR longitude > 17)::BIGINT AS outside, count(*) FILTER (WHERE area <= 0 OR area > 5000)::BIGINT AS odd_areas FROM co",
+    "validate_contract": f"WITH {COMPANIES_SQL} SELECT count(*) FILTER (WHERE id IS NULL)::BIGINT AS null_ids, (count(id) - count(DISTINCT id))::BIGINT AS duplicate_ids, count(*) FILTER (WHERE source IS NULL)::BIGINT AS null_sources, count(*) FILTER (WHERE latitude < 45 OR latitude > 56 OR longitude < 4 OR longitude > 17)::BIGINT AS outside, count(*) FILTER (WHERE area <= 0 OR area * 20000 > 50000000)::BIGINT AS odd_areas FROM co",
     "industrial_flag": f"WITH {COMPANIES_SQL} SELECT doc_id, (source IN ('ied', 'abwaerme', 'mastr') OR doc_id % 5 = 0 OR (doc_id % 5 = 1 AND trim(name) <> '')) AS is_industrial FROM co",
     "display_filter": f"{_CO} SELECT id, source, business_type FROM f WHERE (source = 'osm' AND business_type IN ('shop', 'office')) OR source = 'ied' OR (source = 'mastr' AND source_count >= 2)",
     "selection_filters": f"{_CO} SELECT id, name, state FROM f WHERE state = 'Bremen' AND is_industrial AND longitude BETWEEN 8.1::DOUBLE AND 8.9::DOUBLE AND latitude BETWEEN 53.0::DOUBLE AND 53.9::DOUBLE AND contains(lower(name), 'e')",
@@ -361,7 +304,6 @@ ORACLE_SQL = {
     "toggle_counts": f"{_KEYS}, p AS (SELECT key, list(DISTINCT source) AS s FROM k GROUP BY key), u AS (SELECT unnest(s) AS source, len(s) AS k FROM p) SELECT source, count(*)::BIGINT AS n, count(*) FILTER (WHERE k > 1)::BIGINT AS matched, count(*) FILTER (WHERE k = 1)::BIGINT AS only FROM u GROUP BY 1",
     "smallest_zone": f"WITH {COMPANIES_SQL}, p AS (SELECT doc_id AS id, longitude + 0.0003::DOUBLE AS x, latitude + 0.0003::DOUBLE AS y FROM co) SELECT id, CASE WHEN x > 8.25 AND x < 8.75 AND y > 53.25 AND y < 53.75 THEN 'core' WHEN x > 8.0 AND x < 8.5 AND y > 53.0 AND y < 54.1 THEN 'west' WHEN x > 8.5 AND x < 9.1 AND y > 53.0 AND y < 54.1 THEN 'east' END AS zone FROM p",
     "host_features": f"SELECT {_REG} AS host, count(*)::BIGINT AS hits, count(DISTINCT page_id % 5)::BIGINT AS engines, min(page_id) AS best_rank, bool_or(page_id % 5 = 0) AS first_engine FROM pages GROUP BY 1",
-    "domain_prefix": f"{_KEYS}, h AS (SELECT DISTINCT {_REG} AS host FROM pages), b AS (SELECT DISTINCT substr(key, 1, 2) AS block FROM k WHERE length(key) >= 2) SELECT block, host FROM b JOIN h ON starts_with(string_split(host, '.')[1], block)",
     "domain_candidates": f"{_KEYS}, h AS (SELECT DISTINCT {_REG} AS host FROM pages), s AS (SELECT doc_id, string_split(key, ' ')[1] AS first, replace(key, ' ', '') AS whole FROM k) SELECT doc_id, host FROM s JOIN h ON (length(first) >= 3 AND starts_with(string_split(host, '.')[1], first)) OR (length(whole) >= 3 AND starts_with(string_split(host, '.')[1], whole))",
     "quality_checks": "SELECT l_returnflag, count(*)::BIGINT AS n, count(*) FILTER (WHERE NOT regexp_matches(l_linestatus, '^[OP]$'))::BIGINT AS bad_status, count(*) FILTER (WHERE NOT l_quantity BETWEEN 1 AND 40)::BIGINT AS out_of_range, count(DISTINCT l_suppkey)::BIGINT AS suppliers, floor(quantile_cont(l_quantity, 0.99) * 1000 + 0.5)::BIGINT AS p99_milli FROM lineitem GROUP BY 1",
     "pair_agreement": f"{_KEYS}, a AS (SELECT count(*) AS n FROM k WHERE key <> '' GROUP BY key, postcode), b AS (SELECT count(*) AS n FROM k WHERE key <> '' GROUP BY key, state), c AS (SELECT count(*) AS n FROM k WHERE key <> '' GROUP BY key, postcode, state) SELECT (SELECT sum(n * (n - 1) // 2) FROM a)::BIGINT AS first, (SELECT sum(n * (n - 1) // 2) FROM b)::BIGINT AS second, (SELECT sum(n * (n - 1) // 2) FROM c)::BIGINT AS both",

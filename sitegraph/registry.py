@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import relational, resolution
+from .plans import building, identity, publishing, registers, relational, resolution, web
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**resolution.QUERIES, **relational.QUERIES}
-ORACLE_SQL: dict[str, str] = {**resolution.ORACLE_SQL, **relational.ORACLE_SQL}
+_PLANS = (resolution, relational, identity, web, registers, building, publishing)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for m in _PLANS for k, f in m.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: q for m in _PLANS for k, q in m.ORACLE_SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
