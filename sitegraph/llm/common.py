@@ -19,11 +19,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder under the one that the cluster names in spark.checkpoint.dir.
 
-    Only where the session names none (tests, a single machine) a temporary folder is set.
+    Where the session names none, a temporary folder is set if the session is one process; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("name a folder that all executors see in spark.checkpoint.dir")
         base = tempfile.mkdtemp(prefix="sitegraph-")
         sc.setCheckpointDir(base)
         base = f"file://{base}"
