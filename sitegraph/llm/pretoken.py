@@ -39,9 +39,8 @@ def library_classes() -> np.ndarray:
     from tokenizers.pre_tokenizers import Split
 
     kinds = np.full(0x110000, OTHER, dtype=np.uint8)
-    for lo in range(0, 0x110000, 1 << 11):
-        if 0xD800 <= lo < 0xE000:
-            continue
+    # Beyond these planes no letter, number or space is assigned.
+    for lo in (x for x in range(0, 0x40000, 1 << 11) if not 0xD800 <= x < 0xE000):
         text = "".join(map(chr, range(lo, lo + (1 << 11))))
         for kind, pattern in ((LETTER, r"[^\p{L}]+"), (NUMBER, r"[^\p{N}]+"), (SPACE, r"\S+")):
             for _, (a, b) in Split(Regex(pattern), "removed").pre_tokenize_str(text):

@@ -30,7 +30,7 @@ from .wordvec import ragged
 
 BLOCK_IDS = 1 << 20
 #: Most rules a pass; fewest occurrences of a pair worth the twelve bytes of a rule.
-RULES_PER_PASS, LEAST, LEAST_GAIN = 4096, 8, 1000
+RULES_PER_PASS, LEAST, LEAST_GAIN = 8192, 8, 1000
 _MAGIC, _HEAD, _BUCKET_BITS = b"RPB1", "<4sIIIII", 18
 VOCABULARY = "byte_bpe_50k.json"
 BLOCK_SCHEMA = "shard int, block int, before long, n_ids long, payload binary"
@@ -112,16 +112,29 @@ def compress_pairs(seq: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[
     return seq.astype(np.int64), last, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
 
 
+def by_depth(rules: np.ndarray, base: int) -> Iterator[np.ndarray]:
+    """The rules' numbers, those first whose symbols are plain, then those whose symbols came before."""
+    known, left = np.zeros(len(rules), dtype=bool), np.arange(len(rules))
+    while len(left):
+        s = rules[left] - base
+        ready = ((s < 0) | known[np.maximum(s, 0)]).all(axis=1)
+        if not ready.any():
+            raise ValueError("a rule refers to itself")
+        yield left[ready]
+        known[left[ready]] = True
+        left = left[~ready]
+
+
 def pack_block(doc_ids: list, ids: np.ndarray, ends: np.ndarray) -> bytes:
     """ends: for each document one past its last id."""
     first_rule = int(ids.max()) + 1 if len(ids) else 0
     last = np.zeros(len(ids), dtype=bool)
     last[ends - 1] = True
     symbols, marks, rules = compress_pairs(ids, last, first_rule)
-    lengths = np.ones(len(rules), dtype=np.int64)
     size = np.ones(first_rule + len(rules), dtype=np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[i] = size[first_rule + i] = size[a] + size[b]
+    for ready in by_depth(rules, first_rule):
+        size[first_rule + ready] = size[rules[ready]].sum(axis=1)
+    lengths = size[first_rule:]
     width = 2 if first_rule + len(rules) <= 1 << 16 else 4
     parts = [
         struct.pack(_HEAD, _MAGIC, len(doc_ids), len(rules), len(symbols), first_rule, width),
@@ -162,18 +175,19 @@ class Block:
         """Every nonterminal's ids in one array, and where each begins."""
         if self._flat is None:
             at = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
-            flat = np.zeros(int(at[-1]), dtype=np.int64)
-            base = self.first_rule
-            for i, pair in enumerate(self.rules.tolist()):
-                put = int(at[i])
-                for s in pair:
-                    if s < base:
-                        flat[put] = s
-                        put += 1
-                    else:
-                        lo, hi = int(at[s - base]), int(at[s - base + 1])
-                        flat[put : put + hi - lo] = flat[lo:hi]
-                        put += hi - lo
+            flat, base = np.zeros(int(at[-1]), dtype=np.int64), self.first_rule
+            for ready in by_depth(self.rules, base):
+                put = at[ready]
+                for side in (0, 1):
+                    s = self.rules[ready, side]
+                    plain = s < base
+                    flat[put[plain]] = s[plain]
+                    inner = s[~plain] - base
+                    n = self.lengths[inner]
+                    flat[ragged(put[~plain], n)] = flat[ragged(at[inner], n)]
+                    step = np.ones(len(s), dtype=np.int64)
+                    step[~plain] = n
+                    put = put + step
             self._flat = flat, at
         return self._flat
 
