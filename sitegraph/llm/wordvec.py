@@ -19,10 +19,10 @@ _U = np.uint64
 BLOCK_BYTES = 1 << 18
 try:
     _LIBC = ctypes.CDLL("libc.so.6")
-    # Large arrays go back to the system when they are freed: 3 is the size from which they are
-    # mapped one by one, 1 the free room at the top that is kept.
-    _LIBC.mallopt(-3, 1 << 22)
-    _LIBC.mallopt(-1, 1 << 22)
+    # Arrays of a block are reused within a task, larger ones go back to the system when they are freed:
+    # 3 is the size from which they are mapped one by one, 1 the free room at the top that is kept.
+    _LIBC.mallopt(-3, 1 << 24)
+    _LIBC.mallopt(-1, 1 << 25)
 except (OSError, AttributeError):
     _LIBC = None
 
