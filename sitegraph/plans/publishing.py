@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import publish, serve
 from .adapter import COMPANIES_SQL, companies, name_key_sql, table
 from .identity import cases
+from .registers import FORM_NAME
 from .staging import shared_folder
 
 ITEM, OPERATOR, BRAND = cases(["Q1", None, "Q7", None, None]), cases([None, "Q2", "Q3", "Q8"]), cases(["Q4", None, None, "Q2", "Q5", "Q1"])
@@ -168,7 +169,7 @@ def pair_scores(spark, sf_dir):
 
 def reconcile_report(spark, sf_dir):
     """Register entries that the map lacks, by district and legal form, the first eight forms."""
-    c = _rows(spark, sf_dir).withColumn("form", T.legal_form(F.col("name"))["form"]).where("coalesce(register_match, '') IN ('', 'none', 'n/a')")
+    c = _rows(spark, sf_dir).withColumn("form", T.legal_form(F.expr(FORM_NAME))["form"]).where("coalesce(register_match, '') IN ('', 'none', 'n/a')")
     forms = c.groupBy("form").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc_nulls_last("form")).limit(8)
     return c.groupBy(F.lit("district").alias("what"), F.col("district").alias("value")).agg(F.count("*").alias("n")).unionByName(forms.select(F.lit("form").alias("what"), F.col("form").alias("value"), "n"))
 
