@@ -137,3 +137,9 @@ ACTIVITY_GROUPS = {"1": "energy", "2": "metals", "3": "minerals", "4": "chemical
 HEAT_BANDS = [(1_000, "< 1 GWh/a"), (10_000, "1–10 GWh/a"), (100_000, "10–100 GWh/a")]
 # Columns that are never published.
 PRIVATE_COLUMNS = ["email", "geometry"]
+
+# Words of a page that is for sale.
+PARKED_WORDS = [
+    "domain is for sale", "domain kaufen", "diese domain steht zum verkauf", "domain zu verkaufen",
+    "parked", "sedoparking", "this domain", "buy this domain", "domain-parking", "domain parking",
+]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import site as S
+from ..functions.similarity import partial_ratio, ratio, token_set_ratio
 from ..functions.url import plain_host, registered
 
 #: Letters that blocks of the prefix join share, labels looked at for a name and for its first word, labels kept.
@@ -62,7 +63,8 @@ def host_frequency(hits: DataFrame) -> DataFrame:
 
 def search_features(hits: DataFrame, lists: list[str]) -> DataFrame:
     """What a company's (id, name, city, postcode, street) hits (query, rank, engine, url, title, content)
-    show of each registered domain: counts, the best rank, and which facts are met."""
+    show of each registered domain: counts, the best rank, which facts are met (the legal form where hits have
+    a form), and how alike its titles, texts and label are to the name."""
     h = hits.withColumn("host", registered(plain_host(F.col("url")))).where("host IS NOT NULL")
     title, text = S.name_key(F.col("title")), F.concat_ws(" ", S.name_key(F.col("title")), S.name_key(F.col("content")), F.lower("url"))
     holds = lambda c: (c != "") & text.contains(c)
@@ -76,10 +78,17 @@ def search_features(hits: DataFrame, lists: list[str]) -> DataFrame:
         "label_is_key": (label == F.array_join(toks, "")) | (label == F.array_join(toks, "-")),
         "name_in_title": (S.name_key(F.col("name")) != "") & title.contains(S.name_key(F.col("name"))),
     }
-    h = h.withColumns({k: F.coalesce(v, F.lit(False)).cast("int") for k, v in flags.items()})
+    if "form" in hits.columns:
+        flags["legal_form_in_title"] = (F.trim("form") != "") & F.lower("title").contains(F.lower("form"))
+    likeness = {
+        "sim_title": token_set_ratio(S.name_key(F.col("name")), title) / 100,
+        "sim_snippet": partial_ratio(S.name_key(F.col("name")), S.name_key(F.col("content"))) / 100,
+        "sim_host": ratio(F.array_join(toks, ""), F.replace(label, F.lit("-"), F.lit(""))) / 100,
+    }
+    h = h.withColumns({k: F.coalesce(v, F.lit(False)).cast("int") for k, v in flags.items()} | likeness)
     return h.groupBy("id", "host").agg(
         F.min("rank").alias("best_rank"), F.count("*").alias("n_hits"), F.count_distinct("query").alias("n_queries"), F.count_distinct("engine").alias("n_engines"),
-        *[F.max(k).alias(k) for k in flags],
+        *[F.max(k).alias(k) for k in [*flags, *likeness]],
     ).withColumns({"listed": F.coalesce(S.listed_host(F.col("host"), lists), F.lit(False)).cast("int"), "tld_de": F.col("host").endswith(".de").cast("int"), "label_len": F.length(F.substring_index("host", ".", 1))})
 
 

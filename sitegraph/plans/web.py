@@ -8,9 +8,11 @@ from .. import constants as C
 from ..functions import site as S
 from ..functions.text import legal_form, name_key
 from ..functions.url import listed, plain_host
-from ..operators import discovery, hygiene
+from ..operators import discovery, hygiene, ranker
+from ..sources import remote
 from .adapter import COMPANIES_SQL, companies, name_key_sql, table
 from .identity import cases
+from .staging import shared_folder, staged
 
 DIRECTORIES, CHAINS = ["gelbeseiten.de", "google.com"], ["drk.de"]
 SITE = (
@@ -179,11 +181,62 @@ def residual_rows(spark, sf_dir):
     return discovery.residual(c, ["mismatch", "dead", "parked", "redirect_offdomain", "no_impressum", "blocked", "plz", "robots"], True).select("id")
 
 
+def ranked_hosts(spark, sf_dir):
+    """The hosts that a ranker, learned from the companies with an even number, finds for the others."""
+    hits = _hits(spark, sf_dir).withColumn("form", F.lit("GmbH"))
+    f = discovery.search_features(hits, ["x.com"]).join(discovery.host_frequency(hits).withColumnRenamed("companies", "host_freq"), "host")
+    f = staged(f.withColumn("label", (F.col("sim_title") >= 1).cast("int")), "features")
+    model = ranker.fit(f.where("id % 2 = 0"), RANKED_BY, trees=5, depth=2)
+    return ranker.candidates(model, f.where("id % 2 = 1"), features=RANKED_BY).select("id", "host", F.col("place").cast("long").alias("place"))
+
+
+#: The title's likeness is left out: it is what the label is made of.
+RANKED_BY = [f for f in ranker.FEATURES if f != "sim_title"]
+
+
+def ranker_metrics(spark, sf_dir):
+    """How often the best-scored order of a customer is the right one."""
+    e = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderkey").cast("string").alias("host"), (F.col("o_orderkey") % 100 / F.lit(100.0)).alias("p"), (F.col("o_orderkey") % 3 == 0).cast("int").alias("label")
+    )
+    return ranker.group_metrics(e)
+
+
+def _made_up_web(url, params):
+    """Ten kinds of hosts, by the last digit of the name."""
+    host, _, path = url.split("//", 1)[1].partition("/")
+    kind = host.split(".")[0][-1]
+    if path == "robots.txt":
+        return (200, url, b"User-agent: *\nDisallow: /") if kind == "0" else (404, url, b"")
+    if kind == "1" or (kind == "2" and url.startswith("https")):
+        return None
+    if kind == "3":
+        return 403, url, b""
+    if path:
+        return (500, url, b"") if kind == "5" else (200, url, b"<p>Firma GmbH</p><p>28195 Bremen</p>")
+    if kind == "4":
+        return 200, url, b"<p>This domain is for sale</p>"
+    link = b"<p>Willkommen</p><a href='/impressum'>Impressum</a>"
+    return {
+        "6": (200, url, b"<p>Angaben gem\xc3\xa4\xc3\x9f Gesetz</p>"), "7": (200, url, b"<p>Nur Bilder</p>"),
+        "8": (200, "https://www.andere.org/", link), "9": (200, "https://www.andere.org/", b"<p>Nur Bilder</p>"),
+    }.get(kind, (200, url, link))
+
+
+def fetched_sites(spark, sf_dir):
+    """Records of hosts that were asked in two runs; the second one asks only for what the first one lacks."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("firma"), (F.col("doc_id") % 50).cast("string"), F.lit(".de")).alias("host"))
+    folder = shared_folder(spark)
+    remote.fetch_sites(spark, d.where("doc_id % 3 = 0"), folder, _made_up_web)
+    return remote.fetch_sites(spark, d, folder, _made_up_web)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         host_kinds, hygiene_report, listed_hosts, page_texts, imprint_fields, imprint_links, name_searches, site_verdicts, discovery_accept, search_queries,
         label_candidates, search_features, verified_hosts, top_candidates, residual_rows,
+        ranked_hosts, ranker_metrics, fetched_sites,
     )
 }
 
@@ -253,6 +306,8 @@ ORACLE_SQL = {
     "search_queries": f"WITH d AS (SELECT doc_id, {FIRM} AS n, {LEGAL} AS l, coalesce(nullif(trim({cases(['Bremen', None, ' '])}), ''), 'Kreis Süd') AS c, nullif({cases(['Am Kai 1', ''])}, '') AS s FROM documents), b AS (SELECT *, coalesce(l, n) AS base FROM d) SELECT doc_id, CASE WHEN base IS NULL THEN '' ELSE array_to_string((list_filter([base || ' ' || c, base || ' ' || c || ' impressum', CASE WHEN {name_key_sql('n')} <> {name_key_sql('l')} THEN n || ' ' || c END, base || ' ' || s], lambda x: x IS NOT NULL))[1:4], ' | ') END AS queries, (doc_id % 4 = 0 OR len(list_filter(regexp_extract_all(lower(coalesce(n, '')), '[a-zäöüß0-9]{{4,}}'), lambda t: t NOT IN {_in(C.QUERY_WORDS + ['bremen'])})) = 0 OR len(list_filter(regexp_extract_all(lower(coalesce(n, '')), '[a-zäöüß0-9]{{4,}}'), lambda t: t NOT IN {_in(C.QUERY_WORDS + ['bremen'])} AND contains('https://currenttime.now die zeit ' || CASE WHEN doc_id % 4 = 1 THEN 'seehafen gmbh und reederei' ELSE 'bremen' END, t))) > 0) AS relevant FROM b",
     "label_candidates": _LABELS,
     "search_features": f"{_CO}, {_HITS}, f AS (SELECT id, host, min(rank)::BIGINT AS best_rank, count(*)::BIGINT AS n_hits, count(DISTINCT query)::BIGINT AS n_queries, count(DISTINCT engine)::BIGINT AS n_engines, max(CASE WHEN {name_key_sql('city')} <> '' AND contains({_TEXT}, {name_key_sql('city')}) THEN 1 ELSE 0 END)::BIGINT AS city_in, max(CASE WHEN contains(title || ' ' || content, postcode) THEN 1 ELSE 0 END)::BIGINT AS plz_in, max(CASE WHEN {name_key_sql('name')} <> '' AND contains({name_key_sql('title')}, {name_key_sql('name')}) THEN 1 ELSE 0 END)::BIGINT AS name_in_title FROM h GROUP BY ALL), q AS (SELECT host, count(DISTINCT id)::BIGINT AS host_freq FROM h GROUP BY 1) SELECT f.*, (f.host IN ('x.com'))::BIGINT AS listed, ends_with(f.host, '.de')::BIGINT AS tld_de, length(string_split(f.host, '.')[1])::BIGINT AS label_len, host_freq FROM f JOIN q USING (host)",
+    "ranker_metrics": "WITH e AS (SELECT o_custkey AS id, o_orderkey % 100 / 100.0 AS p, (o_orderkey % 3 = 0)::INT AS label, o_orderkey::VARCHAR AS host FROM orders), b AS (SELECT id, max(label) AS found, max(p) AS p, first(label ORDER BY p DESC, host) AS hit FROM e GROUP BY id) SELECT count(*)::BIGINT AS companies, sum(found)::BIGINT AS found, sum(hit)::BIGINT AS top1, count(*) FILTER (p >= 0.5)::BIGINT AS n_sure, coalesce(sum(hit) FILTER (p >= 0.5), 0)::BIGINT AS sure_right FROM b",
+    "fetched_sites": "WITH h AS (SELECT DISTINCT doc_id % 50 % 10 AS k, 'firma' || (doc_id % 50) || '.de' AS host FROM documents) SELECT host, CASE k WHEN 0 THEN 'robots' WHEN 1 THEN 'dead' WHEN 3 THEN 'blocked' WHEN 4 THEN 'parked' WHEN 7 THEN 'no_impressum' WHEN 8 THEN 'ok_redirected' WHEN 9 THEN 'redirect_offdomain' ELSE 'ok' END AS status, CASE WHEN k IN (8, 9) THEN 'andere.org' WHEN k NOT IN (0, 1, 3) THEN host END AS final_host, CASE k WHEN 2 THEN 'http://' || host || '/impressum' WHEN 5 THEN 'https://' || host || '/' WHEN 6 THEN 'https://' || host || '/' WHEN 8 THEN 'https://www.andere.org/impressum' END AS imprint_url, CASE WHEN k IN (2, 8) THEN 'Firma GmbH' || chr(10) || '28195 Bremen' WHEN k = 5 THEN 'Willkommen' || chr(10) || 'Impressum' WHEN k = 6 THEN 'Angaben gemäß Gesetz' WHEN k IN (7, 9) THEN 'Nur Bilder' END AS text FROM h",
     "verified_hosts": "WITH c AS (SELECT user_id AS id, event_id, 'h' || (event_id % 9) AS host, CASE event_type WHEN 'click' THEN 'name+plz' WHEN 'view' THEN 'name' ELSE 'plz' END AS said FROM events WHERE event_id % 3 > 0) SELECT id, host, said FROM c QUALIFY row_number() OVER (PARTITION BY id ORDER BY said <> 'name+plz', event_id, host) = 1",
     "top_candidates": "SELECT o_custkey AS id, o_orderkey::VARCHAR AS host, row_number() OVER w AS place FROM orders WHERE o_orderkey % 100 >= 30 AND o_orderkey % 7 <> 0 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey % 100 DESC, o_orderkey::VARCHAR) QUALIFY row_number() OVER w <= 3",
     "residual_rows": f"{_CO} SELECT id FROM co WHERE trim(name) <> '' AND source IN ('ied', 'abwaerme', 'mastr') AND (website IS NULL OR {cases(['name+plz', 'mismatch', None, 'dead', 'plz'])} IN ('mismatch', 'dead', 'plz'))",
