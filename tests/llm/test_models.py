@@ -113,10 +113,12 @@ def test_gradients_are_differences():
     def loss():
         z = attention_lm.forward(p, one, two, inside)["z"][inside]
         t = target[inside]
-        out = attention_lm._log_softmax(z @ p["c"] + p["cb"])[np.arange(len(t)), t // attention_lm.MEMBERS]
-        for c, rows in attention_lm.by_class(t // attention_lm.MEMBERS):
-            out[rows] += attention_lm._log_softmax(z[rows] @ p["m"][c] + p["mb"][c])[np.arange(len(rows)), t[rows] % attention_lm.MEMBERS]
-        return -out.mean()
+        log_softmax = lambda x: x - np.log(np.exp(x).sum())
+        total = 0.0
+        for state, unit in zip(z, t, strict=True):
+            c, m = divmod(unit, attention_lm.MEMBERS)
+            total += log_softmax(state @ p["c"] + p["cb"])[c] + log_softmax(state @ p["m"][c] + p["mb"][c])[m]
+        return -total / len(t)
 
     for name, at in (("q", (1, 2)), ("k", (3, 4)), ("v", (0, 5)), ("o", (2, 2)), ("h", (1, 7)), ("u", (3, 3)), ("pos", (9, 1)), ("c", (0, 3)), ("one", (int(one[1, 4]), 2)), ("m", (int(target[1, 1]) // attention_lm.MEMBERS, 3, 5))):
         kept = p[name][at]
@@ -128,6 +130,36 @@ def test_gradients_are_differences():
         assert (up - down) / 2e-5 == pytest.approx(g[name][at], rel=2e-3, abs=1e-7), name
 
 
+@pytest.mark.parametrize("scale", [1.0, 6.0])
+def test_passes_are_a_plain_loop_over_places(scale):
+    """States and log probabilities against one place at a time, with exponents in and out of the safe range."""
+    rng = np.random.default_rng(5)
+    p = {k: v.astype(np.float64) * scale for k, v in attention_lm.start_weights().items()}
+    w, d, members = attention_lm.WINDOW, attention_lm.WIDTH, attention_lm.MEMBERS
+    one, two, target = (rng.integers(0, attention_lm.UNITS, (2, w)) for _ in range(3))
+    inside = np.ones((2, w), dtype=bool)
+    inside[0, :6] = False
+    got = attention_lm.forward(p, one, two, inside)["z"]
+    logs = attention_lm.log_probs(p, got[inside], target[inside])
+    want, want_logs = [], []
+    for i in range(2):
+        x = [p["one"][one[i, j]] + p["two"][two[i, j]] + p["pos"][j] for j in range(w)]
+        for j in np.flatnonzero(inside[i]):
+            of = [k for k in range(j + 1) if inside[i, k]]
+            a = np.array([(x[j] @ p["q"]) @ (x[k] @ p["k"]) / d**0.5 for k in of])
+            a = np.exp(a - a.max())
+            y = x[j] + (sum(b * (x[k] @ p["v"]) for b, k in zip(a, of, strict=True)) / a.sum()) @ p["o"]
+            z = y + np.maximum(y @ p["h"] + p["hb"], 0) @ p["u"]
+            c, m = divmod(target[i, j], members)
+            log = 0.0
+            for e, at in ((z @ p["c"] + p["cb"], c), (z @ p["m"][c] + p["mb"][c], m)):
+                log += e[at] - e.max() - np.log(np.exp(e - e.max()).sum())
+            want.append(z)
+            want_logs.append(log)
+    assert np.allclose(got[inside], want, rtol=1e-6, atol=1e-9)
+    assert np.allclose(logs, want_logs, rtol=1e-6)
+
+
 def test_probabilities_of_a_next_unit_sum_to_one():
     p, units = small_model()
     z = np.random.default_rng(1).standard_normal((1, attention_lm.WIDTH)).astype(np.float32)
