@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -74,6 +74,30 @@ def extract_cube(rows: DataFrame, scope: str) -> DataFrame:
     return rows.withColumn("area", F.explode(areas)).withColumn("sector", F.explode(sectors))
 
 
+def extents(rows: DataFrame, by: str, low: float = 0.005, high: float = 0.995) -> DataFrame:
+    """Per group n, and west, east, south, north: the quantiles low and high of longitude and latitude, in millionths.
+
+    A quantile lies between the two values around its rank and is rounded once (a fused multiply-add): positions
+    on half a millionth are common and go up or down by the last bit. Equal values are counted before they are ordered.
+    """
+    axes = F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).alias("v")) for c in ("longitude", "latitude")])
+    counts = rows.select(by, F.inline(axes)).groupBy(by, "axis", "v").agg(F.count("*").alias("c"))
+    group = Window.partitionBy(by, "axis")
+    upto = F.sum("c").over(group.orderBy(F.asc_nulls_last("v")))
+    counts = counts.withColumns({"total": F.sum(F.when(F.col("v").isNotNull(), F.col("c"))).over(group), "upto": upto})
+    rank = {"low": (F.col("total") - 1) * F.lit(low), "high": (F.col("total") - 1) * F.lit(high)}
+    value = lambda r: F.min(F.when(F.col("upto") > r, F.col("v")))
+    ends = [value(cut(r)).alias(f"{end}_{cut.__name__}") for end, r in rank.items() for cut in (F.floor, F.ceil)]
+    ends = counts.groupBy(by, "axis", "total").agg(F.sum("c").alias("n"), *ends)
+    part = {end: r - F.floor(r) for end, r in rank.items()}
+    fused = lambda end: F.java_method(F.lit("java.lang.Math"), F.lit("fma"), F.col(f"{end}_floor"), F.lit(1.0) - part[end], F.col(f"{end}_ceil") * part[end]).cast("double")
+    found = ends.select(by, "axis", "n", *[F.floor(F.when(F.col("total") > 0, fused(end)) * 1e6 + 0.5).cast("long").alias(end) for end in rank])
+    side = lambda axis, end, name: F.max(F.when(F.col("axis") == axis, F.col(end))).alias(name)
+    return found.groupBy(by).agg(
+        F.max("n").alias("n"), side("longitude", "low", "west"), side("longitude", "high", "east"), side("latitude", "low", "south"), side("latitude", "high", "north")
+    )
+
+
 def search(rows: DataFrame, q: str, limit: int) -> DataFrame:
     """Names that hold q, those that begin with it first, then the shorter ones; limit is the feature."""
     q = q.strip().lower()

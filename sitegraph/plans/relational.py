@@ -196,10 +196,7 @@ def area_distribution(spark, sf_dir):
 
 
 def state_boxes(spark, sf_dir):
-    q = lambda c, p: F.floor(F.percentile(c, F.lit(p)) * 1e6 + 0.5).cast("long")
-    return companies(spark, sf_dir).groupBy("state").agg(
-        F.count("*").alias("n"), q("longitude", 0.005).alias("west"), q("longitude", 0.995).alias("east"), q("latitude", 0.005).alias("south"), q("latitude", 0.995).alias("north")
-    )
+    return serve.extents(companies(spark, sf_dir), "state")
 
 
 def toggle_counts(spark, sf_dir):
