@@ -274,7 +274,7 @@ def label_rows(crf: Crf | None):
 
 def languages(docs: DataFrame, crf: Crf | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row."""
-    rows = only(docs, "doc_id", "text").select("doc_id", (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
+    rows = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
     return rows.mapInArrow(lean(label_rows(crf)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 

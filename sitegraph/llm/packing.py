@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import only, read_table, stage_table
+from .common import read_table, stage_table
 from .pretoken import encode_texts, in_blocks, library_memory, lowered
 from .wordvec import lean
 
@@ -63,7 +63,7 @@ def cut_pieces(path: str, capacity: int, end_id: int):
 
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return only(docs, "doc_id", "text").mapInArrow(lean(cut_pieces(path, capacity, end_id)), schema)
+    return docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`")).mapInArrow(lean(cut_pieces(path, capacity, end_id)), schema)
 
 
 def configurations(sizes: list[int], need: list[int], capacity: int, steps: int = STEPS) -> list[tuple[list[int], float]]:

@@ -106,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     marked = only(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id")
     marked = marked.agg(F.max("toxic").cast("int").alias("toxic")).where(fold("doc_id", FOLDS) != HELD)
     taken = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    texts = only(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(taken), "doc_id")
+    texts = only(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(taken), "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
     got = texts.mapInArrow(feature_rows, "doc_id long, toxic int, at array<int>").dropDuplicates(["doc_id"]).toArrow()
     ids, y, at = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy(), got.column("at").combine_chunks()
     flat, cut = at.values.to_numpy(), at.offsets.to_numpy()
@@ -124,7 +124,7 @@ def score_rows(model: Model):
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    rows = only(docs, "doc_id", "text").select("doc_id", (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
+    rows = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
     scored = rows.mapInArrow(score_rows(model), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 
-from sitegraph.llm import attention_lm, langid, toxicity
+from sitegraph.llm import attention_lm, langid, packing, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,6 +38,18 @@ def test_toxicity_odd(odd, nulls, none, labels):
     assert set(toxicity.toxicity(odd, empty).toPandas().score) == {0.5}
 
 
+@pytest.mark.parametrize("kind", ["int", "decimal(20,0)"])
+def test_ids_of_another_type(odd, labels, kind):
+    """The pipeline's typed stages on ids that are no longs."""
+    docs = odd.withColumn("doc_id", odd.doc_id.cast(kind))
+    model, own = toxicity.train(odd, labels), toxicity.train(docs, labels.withColumn("doc_id", labels.doc_id.cast(kind)))
+    assert own.bias == model.bias and (own.at == model.at).all() and (own.weight == model.weight).all()
+    assert toxicity.keep_clean(docs, own, 2.0).schema["doc_id"] == docs.schema["doc_id"]
+    path = P.path(packing.VOCABULARY)
+    for run in (lambda d: toxicity.toxicity(d, model), lambda d: langid.languages(d, None), lambda d: packing.pack(d, path).drop("sequence_id", "offset")):
+        assert sorted(map(str, run(docs).collect())) == sorted(map(str, run(odd).collect()))
+
+
 def test_langid_held_out(spark):
     got = langid.op8_crf_langid(spark, SF).toPandas()
     assert (got.held_out == [fold(i, 4) == 2 for i in got.doc_id]).all() and got.score.between(0, 1).all()
