@@ -37,6 +37,8 @@ VOCABULARY, CAPACITY, END_ID = "word_bpe_49k.json", 2048, 0
 GROUPS, LARGE_PARTS, STEPS = 40, 8, 400
 #: Rows of one length that one task ranks, about.
 BUCKET_ROWS = 512
+#: Rows of a batch whose texts are Python strings at once.
+SLICE_ROWS = 256
 
 
 def cut_pieces(path: str, capacity: int, end_id: int):
@@ -44,7 +46,7 @@ def cut_pieces(path: str, capacity: int, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = library_memory(path)
-        for batch in batches:
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             docs = batch.column("doc_id").to_pylist()
             texts = [lowered(t or "", memory) for t in batch.column("text").to_pylist()]
             for lo, hi in in_blocks(texts):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, only, read_table
-from .wordvec import mix, words
+from .wordvec import lean, mix, words
 
 #: Hashed coordinates are 2**BITS; labelled rows that the fit takes at most; passes over them.
 BITS, TRAIN_ROWS, PASSES = 20, 8192, 3
@@ -107,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     marked = marked.agg(F.max("toxic").cast("int").alias("toxic")).where(fold("doc_id", FOLDS) != HELD)
     taken = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = only(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(taken), "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
-    got = texts.mapInArrow(feature_rows, "doc_id long, toxic int, at array<int>").dropDuplicates(["doc_id"]).toArrow()
+    got = texts.mapInArrow(lean(feature_rows), "doc_id long, toxic int, at array<int>").dropDuplicates(["doc_id"]).toArrow()
     ids, y, at = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy(), got.column("at").combine_chunks()
     flat, cut = at.values.to_numpy(), at.offsets.to_numpy()
     return fit([(flat[cut[i] : cut[i + 1]], int(y[i])) for i in np.argsort(ids)])
@@ -125,7 +125,7 @@ def score_rows(model: Model):
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
     rows = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
-    scored = rows.mapInArrow(score_rows(model), "doc_id long, held_out boolean, score double")
+    scored = rows.mapInArrow(lean(score_rows(model)), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -136,7 +136,7 @@ def keep_clean(docs: DataFrame, model: Model, limit: float) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(model.scores(batch.column("text")) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op2_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
